@@ -32,8 +32,8 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str],
     return (spark.read.schema(all_text_schema(columns, key))
             .option("header", True).option("quote", '"').option("escape", '"')
             .option("emptyValue", "").option("nullValue", "\u0000")
-            .option("mode", "PERMISSIVE").csv(path)
-            .withColumn("__unused", F.lit(None)).drop("__unused"))
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("mode", "PERMISSIVE").csv(path))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str,
