@@ -49,40 +49,45 @@ def raw_key(c) -> Column:
     return F.trim(F.coalesce(_c(c), F.lit("")))
 
 
-def is_nullish(c, nullish=NULLISH_PARITY) -> Column:
-    return F.lower(raw_key(c)).isin(*nullish)
+def is_nullish(c, nullish=NULLISH_PARITY, key: Column | None = None) -> Column:
+    return F.lower(raw_key(c) if key is None else key).isin(*nullish)
 
 
-def squeeze(c) -> Column:
+def squeeze(c, key: Column | None = None) -> Column:
     """Trim, collapse inner whitespace runs to one space, '' and the literal
     text \\x00 become NULL."""
-    body = F.regexp_replace(raw_key(c), r"\s+", " ")
+    body = F.regexp_replace(raw_key(c) if key is None else key, r"\s+", " ")
     return F.nullif(F.nullif(body, F.lit("")), F.lit("\\x00"))
 
 
-def text(c, nullish=NULLISH_PARITY) -> Column:
-    """Null look-alikes to NULL, otherwise :func:`squeeze`."""
-    return F.when(is_nullish(c, nullish), F.lit(None).cast("string")).otherwise(squeeze(c))
+def text(c, nullish=NULLISH_PARITY, key: Column | None = None, sq: Column | None = None) -> Column:
+    """Null look-alikes to NULL, otherwise :func:`squeeze`.
 
+    ``key`` / ``sq`` may carry ``raw_key(c)`` / ``squeeze(c)`` computed once
+    upstream (see silver.build); results are identical."""
+    return (F.when(is_nullish(c, nullish, key), F.lit(None).cast("string"))
+            .otherwise(squeeze(c, key) if sq is None else sq))
 
-def upper_text(c, nullish=NULLISH_PARITY) -> Column:
-    return F.upper(text(c, nullish))
 
+def upper_text(c, nullish=NULLISH_PARITY, key: Column | None = None, sq: Column | None = None) -> Column:
+    return F.upper(text(c, nullish, key, sq))
 
-def _money_body(c) -> Column:
+
+def _money_body(c, key: Column | None = None) -> Column:
     words = "|".join(CURRENCY_WORDS)
-    no_word = F.regexp_replace(raw_key(c), rf"(?i)^({words})\s*", "")
+    no_word = F.regexp_replace(raw_key(c) if key is None else key, rf"(?i)^({words})\s*", "")
     return F.regexp_replace(no_word, r"[,\s]", "")
 
 
-def money(c, nullish=NULLISH_PARITY, precision: int = 18, scale: int = 2) -> Column:
+def money(c, nullish=NULLISH_PARITY, precision: int = 18, scale: int = 2,
+          key: Column | None = None) -> Column:
     """Money text to DECIMAL(18,2): strip a leading currency word, thousands
     separators and spaces; '(x)' is the accounting negative; unparseable
     text is NULL."""
     dt = f"decimal({precision},{scale})"
-    body = _money_body(c)
+    body = _money_body(c, key)
     unparen = F.replace(F.replace(body, F.lit("("), F.lit("")), F.lit(")"), F.lit(""))
-    return (F.when(is_nullish(c, nullish), F.lit(None).cast(dt))
+    return (F.when(is_nullish(c, nullish, key), F.lit(None).cast(dt))
             .when(body.like("(%)"), -(unparen.try_cast(dt)))
             .otherwise(body.try_cast(dt)))
 
@@ -91,44 +96,49 @@ def _first_parse(c: Column, formats) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
-def date_multi(c, nullish=NULLISH_PARITY, formats=DATE_FORMATS) -> Column:
+def date_multi(c, nullish=NULLISH_PARITY, formats=DATE_FORMATS, key: Column | None = None,
+               sq: Column | None = None) -> Column:
     """Text in one of several date layouts to DATE. Sentinels and look-alikes
     are NULL. A two-digit year read at or past the pivot moves back a century."""
-    sq = squeeze(c)
+    sq = squeeze(c, key) if sq is None else sq
+    k = raw_key(c) if key is None else key
     tries = []
     for f in formats:
         d = F.try_to_timestamp(sq, F.lit(f)).cast("date")
         if "yy" in f and "yyyy" not in f:
             d = F.when(F.year(d) >= CENTURY_PIVOT_YEAR, F.add_months(d, -1200)).otherwise(d)
         tries.append(d)
-    return (F.when(raw_key(c).isin(*DATE_SENTINELS), F.lit(None).cast("date"))
-            .when(is_nullish(c, nullish), F.lit(None).cast("date"))
+    return (F.when(k.isin(*DATE_SENTINELS), F.lit(None).cast("date"))
+            .when(is_nullish(c, nullish, k), F.lit(None).cast("date"))
             .otherwise(F.coalesce(*tries)))
 
 
-def timestamp_multi(c, nullish=NULLISH_PARITY, formats=TS_FORMATS) -> Column:
+def timestamp_multi(c, nullish=NULLISH_PARITY, formats=TS_FORMATS, key: Column | None = None,
+                    sq: Column | None = None) -> Column:
     """Text in one of several timestamp layouts (or epoch seconds) to a
     TIMESTAMP read as UTC. A trailing offset such as '+08:00' is dropped,
     not applied: only the first 19 characters are read as ISO."""
-    sq = squeeze(c)
+    sq = squeeze(c, key) if sq is None else sq
+    k = raw_key(c) if key is None else key
     epoch = F.timestamp_seconds(F.trim(_c(c)).try_cast("bigint"))
     iso = F.try_to_timestamp(F.substring(sq, 1, 19), F.lit(TS_ISO_PREFIX))
-    return (F.when(is_nullish(c, nullish), F.lit(None).cast("timestamp"))
-            .when(raw_key(c).rlike(EPOCH_PATTERN), epoch)
+    return (F.when(is_nullish(c, nullish, k), F.lit(None).cast("timestamp"))
+            .when(k.rlike(EPOCH_PATTERN), epoch)
             .otherwise(F.coalesce(_first_parse(sq, formats), iso)))
 
 
-def flag(c) -> Column:
+def flag(c, key: Column | None = None) -> Column:
     """Yes/no spellings to BOOLEAN, anything else NULL."""
-    k = F.lower(raw_key(c))
+    k = F.lower(raw_key(c) if key is None else key)
     return (F.when(k.isin(*TRUE_WORDS), F.lit(True))
             .when(k.isin(*FALSE_WORDS), F.lit(False))
             .otherwise(F.lit(None).cast("boolean")))
 
 
-def matching(c, pattern: str) -> Column:
+def matching(c, pattern: str, key: Column | None = None) -> Column:
     """The trimmed value when it matches ``pattern``, else NULL."""
-    return F.when(raw_key(c).rlike(pattern), F.trim(_c(c))).otherwise(F.lit(None).cast("string"))
+    k = raw_key(c) if key is None else key
+    return F.when(k.rlike(pattern), F.trim(_c(c))).otherwise(F.lit(None).cast("string"))
 
 
 def scrape_number(c) -> Column:

@@ -50,9 +50,9 @@ RISK_RATING = {
 APPROVED_CODES = ["00", "0", "000", "APPROVED"]
 
 
-def conform(c, mapping: dict, case: str = "upper") -> Column:
+def conform(c, mapping: dict, case: str = "upper", key: Column | None = None) -> Column:
     """Map spellings to codes; unmapped values are NULL."""
-    key = raw_key(c)
+    key = raw_key(c) if key is None else key
     key = F.upper(key) if case == "upper" else F.lower(key)
     out = None
     for code, spellings in mapping.items():
@@ -61,37 +61,38 @@ def conform(c, mapping: dict, case: str = "upper") -> Column:
     return out.otherwise(F.lit(None).cast("string"))
 
 
-def country(c) -> Column:
-    return conform(c, COUNTRY)
+def country(c, key: Column | None = None) -> Column:
+    return conform(c, COUNTRY, key=key)
 
 
-def txn_type(c) -> Column:
-    return conform(c, TXN_TYPE)
+def txn_type(c, key: Column | None = None) -> Column:
+    return conform(c, TXN_TYPE, key=key)
 
 
-def kyc(c) -> Column:
-    return conform(c, KYC)
+def kyc(c, key: Column | None = None) -> Column:
+    return conform(c, KYC, key=key)
 
 
-def channel(c) -> Column:
-    return conform(c, CHANNEL)
+def channel(c, key: Column | None = None) -> Column:
+    return conform(c, CHANNEL, key=key)
 
 
-def card_brand(c) -> Column:
-    return conform(c, CARD_BRAND)
+def card_brand(c, key: Column | None = None) -> Column:
+    return conform(c, CARD_BRAND, key=key)
 
 
-def gender(c) -> Column:
-    return conform(c, GENDER, case="lower")
+def gender(c, key: Column | None = None) -> Column:
+    return conform(c, GENDER, case="lower", key=key)
 
 
-def risk_rating(c) -> Column:
-    return conform(c, RISK_RATING)
+def risk_rating(c, key: Column | None = None) -> Column:
+    return conform(c, RISK_RATING, key=key)
 
 
-def auth_approved(c, nullish=NULLISH_PARITY) -> Column:
+def auth_approved(c, nullish=NULLISH_PARITY, key: Column | None = None) -> Column:
     """Approval codes TRUE, look-alikes NULL, any other response FALSE
     (so a leaked 'NA' counts as declined)."""
-    return (F.when(F.upper(raw_key(c)).isin(*APPROVED_CODES), F.lit(True))
-            .when(is_nullish(c, nullish), F.lit(None).cast("boolean"))
+    k = raw_key(c) if key is None else key
+    return (F.when(F.upper(k).isin(*APPROVED_CODES), F.lit(True))
+            .when(is_nullish(c, nullish, k), F.lit(None).cast("boolean"))
             .otherwise(F.lit(False)))

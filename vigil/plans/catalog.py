@@ -45,7 +45,10 @@ class Catalog:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def raw(self) -> DataFrame:
-        return self._get("raw_txn", lambda: fixtures.raw_txn(self.spark, self.sf_dir))
+        # The landing table is written as many files (one per shuffle
+        # partition) so that every later stage scans it with full parallelism.
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self._get("raw_txn", lambda: fixtures.raw_txn(self.spark, self.sf_dir).repartition(n))
 
     def silver(self) -> DataFrame:
         return self._get("silver", lambda: silver.build(self.raw()))
@@ -61,10 +64,7 @@ class Catalog:
 
     def table(self, name: str) -> DataFrame:
         if name in star.DIMENSIONS:
-            def make():
-                dims = star.dimensions(self.deduped())
-                return dims[name]
-            return self._get(name, make)
+            return self._get(name, lambda: self._dimension(name))
         if name == "fact_transaction":
             return self._get(name, lambda: star.fact_transaction(self.deduped(), self.dims()))
         if name == "fact_alert":
@@ -73,6 +73,19 @@ class Catalog:
             return getattr(self, name if name != "raw_txn" else "raw")()
         raise KeyError(name)
 
+    def _dimension(self, name: str) -> DataFrame:
+        build = {
+            "dim_date": lambda: star.dim_date(self.deduped()),
+            "dim_time": lambda: star.dim_time(self.spark),
+            "dim_customer": lambda: star.dim_customer(self.deduped()),
+            "dim_merchant": lambda: star.dim_merchant(self.deduped()),
+            "dim_channel": lambda: star.dim_channel(self.deduped()),
+            "dim_card": lambda: star.dim_card(self.deduped()),
+            "dim_risk_rule": lambda: star.dim_risk_rule(self.spark),
+        }[name]
+        df = build()
+        return star.with_unknown(name, df) if name in star.UNKNOWN_MEMBERS else df
+
     def star(self) -> dict:
         out = self.dims()
         out["fact_transaction"] = self.table("fact_transaction")
