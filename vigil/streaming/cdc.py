@@ -123,12 +123,20 @@ def compact(changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:
 
 
 def apply(snapshot: DataFrame, compacted: DataFrame, key: str) -> DataFrame:
-    """Insert/update replace the row with that key; delete removes it.
-    Rows untouched by the batch pass through (anti join on the key)."""
+    """Insert/update replace the row with that key; delete removes it; rows
+    untouched by the batch pass through.
+
+    One full outer join on the key, so the snapshot and the batch are each
+    read once (the batch side is small per micro-batch; AQE broadcasts it
+    when its measured size allows and otherwise shuffles both on the key)."""
     target_cols = [c for c in snapshot.columns if c != ROW_MARKER]
-    untouched = snapshot.join(compacted.select(key), key, "left_anti").select(*target_cols)
-    upserts = compacted.filter(F.col(ROW_MARKER) != MARKERS["DELETE"]).select(*target_cols)
-    return untouched.unionByName(upserts)
+    b = compacted.select(F.col(key).alias("__bk"), F.col(ROW_MARKER).alias("__m"),
+                         *[F.col(c).alias(f"__b_{c}") for c in target_cols if c != key])
+    j = snapshot.select(*target_cols).join(b, F.col(key) == F.col("__bk"), "full_outer")
+    hit = F.col("__bk").isNotNull()
+    out = [F.when(hit, F.col("__bk")).otherwise(F.col(key)).alias(key) if c == key
+           else F.when(hit, F.col(f"__b_{c}")).otherwise(F.col(c)).alias(c) for c in target_cols]
+    return j.filter(~hit | (F.col("__m") != MARKERS["DELETE"])).select(*out)
 
 
 def current_view(seed_df: DataFrame, changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:
