@@ -132,13 +132,18 @@ def _split_branch(df: DataFrame, buckets: int) -> DataFrame:
             .drop(_PID, "__less", "__off", "__first"))
 
 
-def add_hourly_velocity(df: DataFrame) -> DataFrame:
+def hourly_counts(df: DataFrame) -> DataFrame:
+    """W3 counts per (account, clock hour): a partial aggregate that reads
+    only ``account_no`` and ``txn_ts`` (column-pruned scan)."""
+    return (df.groupBy(F.col("account_no").alias("__acct"), F.date_trunc("hour", "txn_ts").alias("__hr2"))
+            .agg(F.count(F.lit(1)).alias("acct_txns_same_hour")))
+
+
+def add_hourly_velocity(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """W3 as aggregate + null-safe join back (NULL account / NULL hour rows
     form their own groups, as a window partition would)."""
-    hour = F.date_trunc("hour", "txn_ts")
-    keyed = df.withColumn("__hr", hour)
-    counts = (keyed.groupBy(F.col("account_no").alias("__acct"), F.col("__hr").alias("__hr2"))
-              .agg(F.count(F.lit(1)).alias("acct_txns_same_hour")))
+    counts = hourly_counts(df) if counts is None else counts
+    keyed = df.withColumn("__hr", F.date_trunc("hour", "txn_ts"))
     cond = keyed["account_no"].eqNullSafe(counts["__acct"]) & keyed["__hr"].eqNullSafe(counts["__hr2"])
     return keyed.join(counts, cond, "left").drop("__hr", "__acct", "__hr2")
 
@@ -154,4 +159,5 @@ def add(df: DataFrame, hot_rows: int = HOT_ROWS, buckets: int = SPLIT_BUCKETS) -
     normal = _normal_branch(tagged.filter(F.col(_N).isNull()).drop(_N))
     split = _split_branch(tagged.filter(F.col(_N).isNotNull()), buckets).drop(_N)
     out = normal.unionByName(split)
-    return add_hourly_velocity(out)
+    # Counted from the input scan, so the branch union is consumed once.
+    return add_hourly_velocity(out, hourly_counts(df))
