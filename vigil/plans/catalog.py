@@ -94,6 +94,9 @@ class Catalog:
 
 
 def get(spark: SparkSession, sf_dir: str) -> Catalog:
+    # Naive source times are read as UTC: every derived hour and date must not
+    # depend on where the job runs, whatever session the caller passes in.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = Catalog(spark, sf_dir.rstrip("/"))
