@@ -49,3 +49,16 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert {"yr", "mth", "channel", "risk_band", "txn_type", "transactions", "total_amount"} == set(df.columns)
+
+
+def test_oracle_sql_needs_no_spark_session():
+    """The driver may read oracle_sql() in a process without Spark."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as E; o = E.oracle_sql(); q = E.queries(); print(len(o), len(q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_oracle, n_queries = map(int, out.stdout.split())
+    assert 0 < n_oracle <= n_queries

@@ -23,55 +23,56 @@ def _oproj(cols: dict) -> str:
 
 
 # ----------------------------------------------------------------- cleaners (B)
+# Spark side as factories: Columns need an active session, oracle SQL does not.
 _CLEAN = {
     "clean_text": (
-        {n: clean.text(n) for n in ("txn_id", "account_no", "customer_id", "merchant_id", "first_name")},
+        lambda: {n: clean.text(n) for n in ("txn_id", "account_no", "customer_id", "merchant_id", "first_name")},
         {n: O.o_text(n) for n in ("txn_id", "account_no", "customer_id", "merchant_id", "first_name")}),
     "clean_upper": (
-        {n: clean.upper_text(n) for n in ("txn_status", "merchant_name", "entry_mode", "txn_currency",
-                                          "occupation", "addr_city", "last_name")},
+        lambda: {n: clean.upper_text(n) for n in ("txn_status", "merchant_name", "entry_mode", "txn_currency",
+                                                  "occupation", "addr_city", "last_name")},
         {n: O.o_upper(n) for n in ("txn_status", "merchant_name", "entry_mode", "txn_currency",
                                    "occupation", "addr_city", "last_name")}),
     "clean_money": (
-        {n: clean.money(n) for n in ("txn_amount", "amount_local", "fee_amount")},
+        lambda: {n: clean.money(n) for n in ("txn_amount", "amount_local", "fee_amount")},
         {n: O.o_money(n) for n in ("txn_amount", "amount_local", "fee_amount")}),
     "clean_date": (
-        {"posting_date": clean.date_multi("posting_date"), "value_date": clean.date_multi("value_date"),
-         "date_of_birth": clean.date_multi("dob"), "kyc_review_date": clean.date_multi("kyc_review_date")},
+        lambda: {"posting_date": clean.date_multi("posting_date"), "value_date": clean.date_multi("value_date"),
+                 "date_of_birth": clean.date_multi("dob"), "kyc_review_date": clean.date_multi("kyc_review_date")},
         {"posting_date": O.o_date("posting_date"), "value_date": O.o_date("value_date"),
          "date_of_birth": O.o_date("dob"), "kyc_review_date": O.o_date("kyc_review_date")}),
-    "clean_ts": ({"txn_ts": clean.timestamp_multi("txn_datetime")},
+    "clean_ts": (lambda: {"txn_ts": clean.timestamp_multi("txn_datetime")},
                  {"txn_ts": O.o_ts("txn_datetime")}),
-    "clean_flag": ({n: clean.flag(n) for n in ("pep_flag", "sanctions_hit")},
+    "clean_flag": (lambda: {n: clean.flag(n) for n in ("pep_flag", "sanctions_hit")},
                    {n: O.o_flag(n) for n in ("pep_flag", "sanctions_hit")}),
     "clean_pattern": (
-        {"merchant_mcc": clean.matching("merchant_mcc", silver.MCC_PATTERN),
-         "card_bin": clean.matching("card_bin", silver.BIN_PATTERN)},
+        lambda: {"merchant_mcc": clean.matching("merchant_mcc", silver.MCC_PATTERN),
+                 "card_bin": clean.matching("card_bin", silver.BIN_PATTERN)},
         {"merchant_mcc": O.o_match("merchant_mcc", "^[0-9]{4}$"),
          "card_bin": O.o_match("card_bin", "^[0-9]{6}$")}),
-    "scrape_number": ({"fraud_score_num": clean.scrape_number("fraud_score")},
+    "scrape_number": (lambda: {"fraud_score_num": clean.scrape_number("fraud_score")},
                       {"fraud_score_num": O.o_scrape("fraud_score")}),
     "conform_country": (
-        {n: conform.country(n) for n in ("nationality", "addr_country", "merchant_country")},
+        lambda: {n: conform.country(n) for n in ("nationality", "addr_country", "merchant_country")},
         {n: O.o_conform(n, conform.COUNTRY) for n in ("nationality", "addr_country", "merchant_country")}),
-    "conform_txn_type": ({"txn_type": conform.txn_type("txn_type")},
+    "conform_txn_type": (lambda: {"txn_type": conform.txn_type("txn_type")},
                          {"txn_type": O.o_conform("txn_type", conform.TXN_TYPE)}),
-    "conform_kyc": ({"kyc_status": conform.kyc("kyc_status")},
+    "conform_kyc": (lambda: {"kyc_status": conform.kyc("kyc_status")},
                     {"kyc_status": O.o_conform("kyc_status", conform.KYC)}),
-    "conform_channel": ({"channel": conform.channel("channel")},
+    "conform_channel": (lambda: {"channel": conform.channel("channel")},
                         {"channel": O.o_conform("channel", conform.CHANNEL)}),
-    "conform_card_brand": ({"card_brand": conform.card_brand("card_brand")},
+    "conform_card_brand": (lambda: {"card_brand": conform.card_brand("card_brand")},
                            {"card_brand": O.o_conform("card_brand", conform.CARD_BRAND)}),
-    "conform_auth": ({"auth_approved": conform.auth_approved("auth_response")},
+    "conform_auth": (lambda: {"auth_approved": conform.auth_approved("auth_response")},
                      {"auth_approved": O.o_auth("auth_response")}),
-    "conform_gender": ({"gender": conform.gender("gender")},
+    "conform_gender": (lambda: {"gender": conform.gender("gender")},
                        {"gender": O.o_conform("gender", conform.GENDER, "lower")}),
-    "conform_risk": ({"risk_rating": conform.risk_rating("risk_rating")},
+    "conform_risk": (lambda: {"risk_rating": conform.risk_rating("risk_rating")},
                      {"risk_rating": O.o_conform("risk_rating", conform.RISK_RATING)}),
 }
 
 for _key, (_spark_cols, _sql_cols) in _CLEAN.items():
-    register(_key, _oproj(_sql_cols))(lambda c, _cols=_spark_cols: _proj(c, _cols))
+    register(_key, _oproj(_sql_cols))(lambda c, _cols=_spark_cols: _proj(c, _cols()))
 
 
 # ------------------------------------------------------------------ silver

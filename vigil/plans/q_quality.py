@@ -217,3 +217,23 @@ def q_acceptance(c):
          lambda: one(Q.check_instants(ft).agg(F.min(F.col("is_instant").cast("int")).alias("m")), "m") == 1),
     ]
     return Q.run_checks(spark, checks)
+
+
+_GOLD = ["fact_transaction", "fact_alert", "dim_customer", "dim_merchant", "dim_channel", "dim_card",
+         "dim_date", "dim_time", "dim_risk_rule"]
+
+
+@register("compare_counts", O.sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows_a, count(*) AS rows_b, TRUE AS equal FROM {t}"
+    for t in _GOLD), *_GOLD))
+def q_compare_counts(c):
+    """Gold counts equal between the built layer and its exported copy."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources import sinks
+    base = ensure_checkpoint_dir(c.spark).rstrip("/") + f"/vigil-export-{uuid.uuid4().hex[:12]}"
+    gold = {t: c.table(t) for t in _GOLD}
+    paths = sinks.export_gold(gold, base)
+    exported = {t: c.spark.read.parquet(p) for t, p in paths.items()}
+    return Q.compare_counts(gold, exported)
