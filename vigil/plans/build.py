@@ -1,10 +1,10 @@
 """End-to-end build: raw -> silver -> enriched -> scored -> deduped -> star.
 
 ``build_star`` returns a dict of DataFrames. With ``materialize=True`` the
-shared intermediate (``deduped``, read by nine outputs) is written once with
-a reliable ``checkpoint()`` under the cluster's ``spark.checkpoint.dir``, so
-lineage is cut and a lost executor re-reads files instead of re-running
-the window stages. Lazy mode (the default) lets each output be planned as
+shared intermediates (silver, scored, and ``deduped``, read by nine outputs)
+are written once with a reliable ``checkpoint()`` under the cluster's
+``spark.checkpoint.dir``, so lineage is cut and a lost executor re-reads
+files instead of re-running the window stages. Lazy mode (the default) lets each output be planned as
 one Catalyst query, which is what the query registry uses.
 """
 
@@ -31,11 +31,16 @@ def scored(raw: DataFrame, hot_rows: int = features.HOT_ROWS, dedup_first: bool
 
 def build_star(raw: DataFrame, hot_rows: int = features.HOT_ROWS, materialize: bool = False,
                dedup_first: bool = False) -> dict:
-    sc = scored(raw, hot_rows=hot_rows, dedup_first=dedup_first)
-    dd = dedup.keep_first(sc)
     if materialize:
-        ensure_checkpoint_dir(dd.sparkSession)
-        dd = dd.checkpoint(eager=True)
+        ensure_checkpoint_dir(raw.sparkSession)
+        s = silver.build(raw).checkpoint(eager=True)
+        if dedup_first:
+            s = dedup.keep_first(s)
+        sc = rules.score(features.add(s, hot_rows=hot_rows)).checkpoint(eager=True)
+        dd = dedup.keep_first(sc).checkpoint(eager=True)
+    else:
+        sc = scored(raw, hot_rows=hot_rows, dedup_first=dedup_first)
+        dd = dedup.keep_first(sc)
     dims = star.dimensions(dd)
     out = dict(dims)
     out["fact_transaction"] = star.fact_transaction(dd, dims)
