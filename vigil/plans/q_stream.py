@@ -66,3 +66,21 @@ def q_stream_velocity(c):
     return (out.join(F.broadcast(last), out["batch"] == last["__b"])  # one row
             .select("account_no", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     "acct_txns_same_hour", "velocity"))
+
+
+DEDUP_KEYS = ["txn_id", "txn_amount", "merchant_name", "txn_ts"]
+
+
+@register("stream_dedup", O.sql(
+    "SELECT DISTINCT txn_id, CAST(txn_amount AS DOUBLE) AS txn_amount, merchant_name, "
+    "strftime(txn_ts, '%Y-%m-%d %H:%M:%S') AS txn_ts FROM silver WHERE txn_ts IS NOT NULL", "silver"))
+def q_stream_dedup(c):
+    """Exact duplicates dropped on a stream (state kept for the
+    watermark). The fixture's files arrive in random event-time order over
+    a month, so the watermark here spans the data; the result is the set of
+    distinct business keys (which copy survives is arrival order)."""
+    def build(s):
+        from ..operators import silver
+        sv = silver.build(s).filter(F.col("txn_ts").isNotNull())
+        return stream.stream_dedup(sv, watermark="400 days", keys=DEDUP_KEYS).select(*DEDUP_KEYS)
+    return _run(c, "stream-dedup", build).select(*DEDUP_KEYS)
