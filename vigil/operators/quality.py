@@ -101,10 +101,16 @@ def spellings(raw: DataFrame, columns: list[str], top: int = 6) -> DataFrame:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    w = Window.partitionBy("column_name")
-    ranked = (u.withColumn("distinct_values", F.count(F.lit(1)).over(w))
-              .withColumn("rnk", F.row_number().over(w.orderBy(F.col("n").desc(), F.col("value").asc()))))
-    return ranked.filter(F.col("rnk") <= top).select("column_name", "distinct_values", "rnk", "value", "n")
+    # The ranking window holds only row_number with a "<= top" filter, so
+    # Spark plans a partial top-k per task below the exchange
+    # (WindowGroupLimit): a column with billions of distinct values sends
+    # at most ``top`` rows per task. Distinct counts come from an aggregate
+    # (one row per column).
+    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
+    ranked = u.withColumn("rnk", F.row_number().over(w)).filter(F.col("rnk") <= top)
+    distinct = u.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+    return (ranked.join(F.broadcast(distinct), "column_name")
+            .select("column_name", "distinct_values", "rnk", "value", "n"))
 
 
 def coherence(raw: DataFrame, junk=clean.RAW_JUNK) -> DataFrame:
@@ -131,6 +137,8 @@ def fingerprint_diff(a: DataFrame, b: DataFrame, key: str = "_mirror_row_id", wi
     diff = (fa.withColumnRenamed("n_keys", "na").join(fb.withColumnRenamed("n_keys", "nb"), "bucket", "full_outer")
             .filter(~F.col("na").eqNullSafe(F.col("nb"))).select("bucket"))
     bkt = F.substring(F.md5(F.col(key).cast("string")), 1, width)
+    # ``diff`` has at most 16 ** width rows (1,048,576 five-character
+    # buckets at the default width): a proven bound for the broadcast.
     ka = a.select(key).distinct().withColumn("bucket", bkt).join(F.broadcast(diff), "bucket", "left_semi")
     kb = b.select(key).distinct().withColumn("bucket", bkt).join(F.broadcast(diff), "bucket", "left_semi")
     only_a = ka.join(kb, key, "left_anti").withColumn("side", F.lit("left_only"))
