@@ -144,6 +144,14 @@ FACT_COLUMNS = ["_mirror_row_id", "txn_id", "date_key", "time_key", "customer_ke
                 "rules_fired", "risk_band"]
 
 
+NULL_SPREAD = 1024
+
+
+def _spread_nulls(col: str) -> Column:
+    salt = F.pmod(F.xxhash64(F.col(_ID)), F.lit(NULL_SPREAD)).cast("string")
+    return F.coalesce(F.col(col), F.concat(F.lit("\u0001null-"), salt))
+
+
 def fact_transaction(deduped: DataFrame, dims: dict) -> DataFrame:
     """Resolve six foreign keys by left joins; a miss is the Unknown key.
 
@@ -165,10 +173,15 @@ def fact_transaction(deduped: DataFrame, dims: dict) -> DataFrame:
         "channel_key", F.col("channel").alias("__ch"), F.col("entry_mode").alias("__em"))
     cd = dims["dim_card"].filter(F.col("card_key") != UNKNOWN_KEY).select(
         "card_key", F.col("card_bin").alias("__bin"), F.col("card_brand").alias("__brand"))
+    # A NULL id never matches, but as a join key every NULL row would hash
+    # to one partition. Spread them over NULL_SPREAD salted values that no
+    # dimension key can equal (they start with a control character).
+    d = (d.withColumn("__cust", _spread_nulls("customer_id"))
+         .withColumn("__merch", _spread_nulls("merchant_id")))
     j = (d.join(F.broadcast(dd), "__date", "left")
          .join(F.broadcast(dt), "__hour", "left")
-         .join(dc, "customer_id", "left")
-         .join(dm, "merchant_id", "left"))
+         .join(dc.withColumnRenamed("customer_id", "__cust"), "__cust", "left")
+         .join(dm.withColumnRenamed("merchant_id", "__merch"), "__merch", "left"))
     j = j.join(ch, j["channel"].eqNullSafe(ch["__ch"]) & j["entry_mode"].eqNullSafe(ch["__em"]), "left")
     j = j.join(cd, j["card_bin"].eqNullSafe(cd["__bin"]) & j["card_brand"].eqNullSafe(cd["__brand"]), "left")
     fk = {k: F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).cast("long")
