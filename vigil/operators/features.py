@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 HOT_ROWS = 2_000_000
 # Amount ranges a hot customer is cut into (rows per task ~ rows / buckets).
 SPLIT_BUCKETS = 1024
+# Cap on (hot customers x ranges) entries in the broadcast boundary table.
+MAX_BOUND_ENTRIES = 4_000_000
 MIN_HISTORY = 5
 
 _N = "__cust_n"
@@ -155,6 +157,10 @@ def add(df: DataFrame, hot_rows: int = HOT_ROWS, buckets: int = SPLIT_BUCKETS) -
     # Bounded: at most rows / hot_rows hot customers, plus the NULL customer.
     hot = counts.filter(F.col("customer_id").isNull() | (F.col(_N) > F.lit(hot_rows)))
     hot = hot.withColumnRenamed("customer_id", "__hot_c")
+    # The boundary table broadcast on the split path has hot x buckets
+    # entries; size it from the (small, already aggregated) hot-key count.
+    n_hot = hot.count()
+    buckets = max(2, min(buckets, MAX_BOUND_ENTRIES // max(1, n_hot)))
     tagged = df.join(F.broadcast(hot), df["customer_id"].eqNullSafe(hot["__hot_c"]), "left").drop("__hot_c")
     normal = _normal_branch(tagged.filter(F.col(_N).isNull()).drop(_N))
     split = _split_branch(tagged.filter(F.col(_N).isNotNull()), buckets).drop(_N)
