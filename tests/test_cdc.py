@@ -64,3 +64,12 @@ def test_schema_preflight(spark):
                         T.StructField("x", T.StringType()), T.StructField(cdc.ROW_MARKER, T.StringType())])
     issues = {r["issue"] for r in cdc.check_schema(exp, bad, spark).collect()}
     assert issues == {"extra", "type", "order"}
+
+
+def test_history_keeps_retention_window(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 31)
+    rows = [(i, base - dt.timedelta(days=d)) for i, d in enumerate([0, 3, 7, 8, 30])]
+    feed = spark.createDataFrame(rows, "k long, ts timestamp")
+    kept = sorted(r["k"] for r in cdc.history(feed, "ts", retain_days=7).collect())
+    assert kept == [0, 1, 2]
