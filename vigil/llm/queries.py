@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing
+from . import chat, decontaminate, exact, mixing, ngram_join
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,30 @@ def register(fn):
     return fn
 
 
+#: The planted conversation whose texts look like control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@register
+def op1_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], turns.schema)
+    segments, members = chat.format_chats(turns.unionByName(extra))
+    text = chat.read_back(segments).withColumn("d", chat.digests("text", "loss")).select("tree", "start", "d.*")
+    return members.drop("n_turns").join(text, ["tree", "start"]).select(F.col("conv").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@register
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = ngram_join.join_classes(documents(spark, sf_dir))
+    return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@register
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.deduplicate(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
 @register
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(documents(spark, sf_dir), keep_text=False)
