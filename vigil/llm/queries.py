@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, mixing, ngram_join
+from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+@register
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    s = quality.score(documents(spark, sf_dir), labels)
+    return s.select(F.col("id").alias("doc_id"), (quality.fold(F.col("id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    s = toxicity.score(documents(spark, sf_dir), labels)
+    return s.select(F.col("id").alias("doc_id"), (quality.fold(F.col("id")) == 0).alias("held_out"), "explicit", "implicit", F.col("toxic").alias("score"),
+                    (F.col("toxic") >= 0.5).cast("int").alias("predicted"))
+
+
 @register
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(documents(spark, sf_dir), keep_text=False)
@@ -57,3 +72,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(found, F.col("doc_id").eqNullSafe(F.col("doc")), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")).cast("binary"), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
+
+
+@register
+def op10_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
