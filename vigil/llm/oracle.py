@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written from the definitions, not from the operators."""
 
+from . import secrets
+
 ORACLE: dict[str, str] = {}
 
 UP, LO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,3 +67,32 @@ r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) c USING (doc_id)
 """
+
+
+def _find(kind: int, pattern: str, group: int, test: str) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {kind} AS k, start, start + len(m) AS stop, v FROM (
+  SELECT doc_id, unnest(ms) AS m, unnest(vs) AS v,
+         unnest(list_transform(range(1, len(ms) + 1), lambda i: coalesce(list_sum(list_transform(gaps[1:i], lambda x: len(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: len(x))), 0))) AS start
+  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {group}) AS vs, string_split_regex(t, '{pattern}') AS gaps FROM d)) WHERE {test}"""
+
+
+_RANDOM = "SELECT v, 1 AS random FROM base UNION ALL SELECT v, 0 FROM runs WHERE regexp_full_match(v, '[A-Za-z][a-z]+')"
+_PAIR = "(ascii(v[i]) * 128 + ascii(v[i + 1]))"
+ORACLE["op6_secrets"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS MATERIALIZED ({_find(0, secrets.ASSIGN, 2, "len(v) >= 12")} UNION ALL {_find(1, secrets.ACCESS, 0, "true")} UNION ALL {_find(2, secrets.HEX, 0, "true")}),
+cand AS ({_find(3, secrets.RUN, 0, "true")}),
+runs AS MATERIALIZED (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)),
+pairs AS (SELECT {_PAIR} AS code, random FROM (SELECT v, random, unnest(range(1, len(v))) AS i FROM ({_RANDOM}))),
+grid AS (SELECT g.code, g.code // 128 AS a, coalesce(sum(random), 0) AS r, coalesce(sum(1 - random), 0) AS o
+         FROM (SELECT unnest(range(0, 16384)) AS code) g LEFT JOIN pairs USING (code) GROUP BY ALL),
+model AS (SELECT code, ln((r + 1) / (sum(r) OVER (PARTITION BY a) + 64)) - ln((o + 1) / (sum(o) OVER (PARTITION BY a) + 64)) AS v FROM grid),
+scored AS (SELECT doc_id, start, stop, len(x.v) AS n, sum(model.v) AS s FROM (SELECT *, {_PAIR} AS code FROM (SELECT *, unnest(range(1, len(v))) AS i FROM runs)) x JOIN model USING (code) GROUP BY doc_id, start, stop, n),
+al AS (SELECT doc_id, k, start, stop FROM base UNION ALL SELECT doc_id, 3, start, stop FROM scored WHERE s >= greatest({secrets.MARGIN}, {secrets.MARKOV_MARGIN_PER_CHAR} * n)),
+w AS (SELECT *, (['assign', 'access', 'hex', 'markov'])[k + 1] || ':' || start || ':' || stop AS s FROM al),
+g AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+             coalesce(string_agg(s, ',' ORDER BY start, k) FILTER (k < 3), '') AS base, string_agg(s, ',' ORDER BY start, k) AS spans FROM w GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, toxicity
+from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, secrets, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("id").alias("doc_id"), (quality.fold(F.col("id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select(F.col("id").alias("doc_id"), n("assign"), n("access"), n("hex"), F.sha2(secrets.written(base).cast("binary"), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
+
+
 @register
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
