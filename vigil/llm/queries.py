@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, secrets, toxicity
-from .common import documents
+from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, secrets, suffix, toxicity
+from .common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(fn):
-    QUERIES[fn.__name__] = fn
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = query
     return fn
 
 
@@ -49,6 +53,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("id").alias("doc_id"), (quality.fold(F.col("id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = suffix.remove_repeats(documents(spark, sf_dir))
+    return r.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(documents(spark, sf_dir))
