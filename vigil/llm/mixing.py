@@ -10,7 +10,7 @@ first, and only the table of range sums (ranges x sources rows) is put in order.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; documents of size 0
 take no words; repeated rows are served like any others, one place each; an empty table gives an empty mix.
-Columns of the input are never dropped; the operator's own columns start with ``mix_``.
+Other columns are only carried, inside the struct ``row``, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2, keep_text: bool = True) -> DataFrame:
-    """Every input row with ``mix_size, mix_source_size, mix_target, mix_times`` (how often the mix serves it) and
-    ``mix_finish`` (its first virtual finish time). ``mix_taken = mix_size * mix_times`` words enter the mix."""
+    """For every input row ``mix_size, mix_source_size, mix_target, mix_times`` (how often the mix serves it) and
+    ``mix_finish`` (its first virtual finish time), with the row itself as a struct ``row`` if ``keep_text``, else with
+    ``mix_id, mix_source``. ``mix_size * mix_times`` words enter the mix."""
     n = partitions(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     # Repeated rows of one document are one entry with their number.
@@ -85,9 +86,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("target").alias("mix_target"), (F.col("upto") / F.col("target")).alias("mix_finish"), F.coalesce(F.col("t.times"), F.lit(0)).cast("long").alias("mix_times"))
     if not keep_text:
         return entry.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).drop("mix_copies", "mix_copy")
-    rows = docs.withColumn("mix_n", word_count(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("mix_id")) & F.col(source_col).eqNullSafe(F.col("mix_source")) & (F.col("mix_n") == F.col("mix_size"))
-    return rows.join(entry, same).drop("mix_id", "mix_source", "mix_n", "mix_copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("n"))
+    same = F.col("id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("n") == F.col("mix_size"))
+    return rows.join(entry, same).drop("id", "source", "n", "mix_id", "mix_source", "mix_copies")
 
 
 def serve(mixed: DataFrame) -> DataFrame:

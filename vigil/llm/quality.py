@@ -165,10 +165,11 @@ def _features(batches: Iterator[pa.RecordBatch], vectors, weights) -> Iterator[p
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(x, pa.list_(pa.float32()))], ["id", "y", "x"])
 
 
-def _scores(batches: Iterator[pa.RecordBatch], vectors, weights, net: Network) -> Iterator[pa.RecordBatch]:
+def _scores(batches: Iterator[pa.RecordBatch], at: int, keep: int, vectors, weights, net: Network) -> Iterator[pa.RecordBatch]:
+    """The first ``keep`` columns and the score of the text in column ``at``."""
     for batch in batches:
-        x = np.array([pool(b, vectors, weights) for b in text_bytes(batch.column(batch.num_columns - 1))], np.float32).reshape(-1, 2 * DIM)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(net.scores(x))], [*batch.schema.names[:-1], "score"])
+        x = np.array([pool(b, vectors, weights) for b in text_bytes(batch.column(at))], np.float32).reshape(-1, 2 * DIM)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:keep], pa.array(net.scores(x))], [f"c{i}" for i in range(keep)] + ["score"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, sample: int) -> DataFrame:
@@ -191,9 +192,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, keep: bool = False) -> DataFrame:
-    """``id, score`` for every row; with ``keep``, every column of the input and ``score``."""
+    """``id, score`` for every row; with ``keep``, the whole input row as a struct ``row`` in place of ``id``."""
     shared, net = train(docs, labels, label, id_col, text_col, sample)
-    text = F.col(text_col).cast("string").alias("quality_text")
-    two = docs.select(*(docs.columns if keep else [F.col(id_col).alias("id")]), text)
-    schema = T.StructType([*list(two.schema)[:-1], T.StructField("score", T.DoubleType())])
-    return two.mapInArrow(lambda it: _scores(it, *shared.value, net), schema)
+    names = docs.columns if keep else [id_col]
+    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+    at = names.index(text_col) if keep else 1
+    two = docs.select(*cols) if keep else docs.select(*cols, F.col(text_col).cast("string").alias("c1"))
+    schema = T.StructType([*list(two.schema)[: len(names)], T.StructField("score", T.DoubleType())])
+    out = two.mapInArrow(lambda it: _scores(it, at, len(names), *shared.value, net), schema)
+    if not keep:
+        return out.withColumnRenamed("c0", "id")
+    return out.select(F.struct(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]).alias("row"), "score")
