@@ -32,7 +32,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
 
     Sources in code-point order (null last) take ``weights`` in turn and share ``share`` times all words. A target
     stops at ``max_repeats`` times its source's size; what is left goes to the others by weight. That is the level
-    ``l`` with sum(min(cap, l * weight)) = budget: sources sorted by cap / weight, each tried as the first uncapped.
+    ``l`` with sum(min(cap, l * weight)) = budget: sources sorted by cap / weight, each
+    tried as the first uncapped; of the levels at which that one is uncapped, the highest leaves no cap unused.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").isNull(), "source")  # one row a source
@@ -43,7 +44,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     every = Window.partitionBy()
     per = per.withColumn("budget", F.lit(float(share)) * F.sum("source_size").over(every))
     per = per.withColumn("level", (F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(rest))
-    level = F.min(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(every)
+    level = F.max(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(every)
     return per.select("source", "source_size", F.least("cap", F.coalesce(level, F.lit(float("inf"))) * F.col("w")).alias("target"))
 
 

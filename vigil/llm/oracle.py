@@ -13,7 +13,7 @@ w AS (SELECT *, 2.0::DOUBLE * source_size AS cap, CASE k % 3 WHEN 0 THEN 3.0::DO
 b AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS budget FROM s),
 l AS (SELECT a.source, a.cap, a.w, ((SELECT budget FROM b) - coalesce((SELECT sum(c.cap) FROM w c WHERE (c.cap / c.w, c.k) < (a.cap / a.w, a.k)), 0))
              / (SELECT sum(c.w) FROM w c WHERE (c.cap / c.w, c.k) >= (a.cap / a.w, a.k)) AS lev FROM w a),
-t AS (SELECT w.source, w.source_size, least(w.cap, coalesce((SELECT min(lev) FROM l WHERE lev <= l.cap / l.w), CAST('inf' AS DOUBLE)) * w.w) AS target FROM w),
+t AS (SELECT w.source, w.source_size, least(w.cap, coalesce((SELECT max(lev) FROM l WHERE lev <= l.cap / l.w), CAST('inf' AS DOUBLE)) * w.w) AS target FROM w),
 p AS (SELECT d.*, t.source_size, t.target, md5(CAST(doc_id AS VARCHAR)) AS h,
              sum(size) OVER (PARTITION BY d.source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
@@ -77,7 +77,7 @@ def _find(kind: int, pattern: str, group: int, test: str) -> str:
   FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {group}) AS vs, string_split_regex(t, '{pattern}') AS gaps FROM d)) WHERE {test}"""
 
 
-_RANDOM = "SELECT v, 1 AS random FROM base UNION ALL SELECT v, 0 FROM runs WHERE regexp_full_match(v, '[A-Za-z][a-z]+')"
+_RANDOM = "SELECT v, 1 AS random FROM base UNION ALL SELECT v, 0 FROM runs WHERE regexp_matches(v, '" + secrets.ORDINARY + "')"
 _PAIR = "(ascii(v[i]) * 128 + ascii(v[i + 1]))"
 ORACLE["op6_secrets"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -85,9 +85,10 @@ base AS MATERIALIZED ({_find(0, secrets.ASSIGN, 2, "len(v) >= 12")} UNION ALL {_
 cand AS ({_find(3, secrets.RUN, 0, "true")}),
 runs AS MATERIALIZED (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)),
 pairs AS (SELECT {_PAIR} AS code, random FROM (SELECT v, random, unnest(range(1, len(v))) AS i FROM ({_RANDOM}))),
-grid AS (SELECT g.code, g.code // 128 AS a, coalesce(sum(random), 0) AS r, coalesce(sum(1 - random), 0) AS o
+grid AS (SELECT g.code, g.code // 128 AS a, g.code % 128 AS b, coalesce(sum(random), 0) AS r, coalesce(sum(1 - random), 0) AS o
          FROM (SELECT unnest(range(0, 16384)) AS code) g LEFT JOIN pairs USING (code) GROUP BY ALL),
-model AS (SELECT code, ln((r + 1) / (sum(r) OVER (PARTITION BY a) + 64)) - ln((o + 1) / (sum(o) OVER (PARTITION BY a) + 64)) AS v FROM grid),
+model AS (SELECT code, ln((r + 16.0::DOUBLE * (sum(r) OVER (PARTITION BY b) + 1) / (sum(r) OVER () + 64)) / (sum(r) OVER (PARTITION BY a) + 16.0::DOUBLE))
+                      - ln((o + 16.0::DOUBLE * (sum(o) OVER (PARTITION BY b) + 1) / (sum(o) OVER () + 64)) / (sum(o) OVER (PARTITION BY a) + 16.0::DOUBLE)) AS v FROM grid),
 scored AS (SELECT doc_id, start, stop, len(x.v) AS n, sum(model.v) AS s FROM (SELECT *, {_PAIR} AS code FROM (SELECT *, unnest(range(1, len(v))) AS i FROM runs)) x JOIN model USING (code) GROUP BY doc_id, start, stop, n),
 al AS (SELECT doc_id, k, start, stop FROM base UNION ALL SELECT doc_id, 3, start, stop FROM scored WHERE s >= greatest({secrets.MARGIN}, {secrets.MARKOV_MARGIN_PER_CHAR} * n)),
 w AS (SELECT *, (['assign', 'access', 'hex', 'markov'])[k + 1] || ':' || start || ':' || stop AS s FROM al),

@@ -5,13 +5,13 @@ id) and ``hex``. The fourth kind, ``markov``, looks at every run of 16 or more c
 base span touches, and keeps those that a Markov model of random strings explains better than a model of ordinary
 identifiers, by a log-likelihood ratio of ``MARGIN`` or more.
 
-Both models are first-order character models (add-one smoothing) trained on labelled samples that the corpus gives,
-all of it: values of base matches are the random strings; runs of letters alone, no capital after the first, are the
+Both models are first-order character models (smoothed by single characters) trained on labelled samples that the corpus gives,
+all of it: values of base matches are the random strings; runs of letters, each part of one case, are the
 ordinary identifiers. Their counts are at most 128 x 128 numbers, the only thing that is broadcast.
 
 Places count code points, end exclusive. They come from the lengths of what a split leaves between matches.
 Defined results: null or empty texts have no spans; repeated rows score alike; with no samples of a kind its model is
-uniform, so the ratio finds nothing that the other model does not rule out; other columns are not looked at.
+uniform, so a run must then be unlikely under the other; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +27,10 @@ KEYS = "|".join(_either(w) for w in ("password", "passwd", "secret", "token")) +
 ASSIGN = rf"""({KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS, HEX, RUN = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/=_-]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
-MARGIN, MARKOV_MARGIN_PER_CHAR, CODES = 8.0, 0.25, 128
+#: Runs that teach the model of ordinary identifiers: parts of one case each.
+ORDINARY = "^([A-Z]?[a-z]+|[A-Z]+)([_-]([A-Z]?[a-z]+|[A-Z]+))*$"
+#: Least log-likelihood ratio of a run, and of a run by its characters; weight of the single-character prior.
+MARGIN, MARKOV_MARGIN_PER_CHAR, PRIOR, CODES = 8.0, 0.25, 16.0, 128
 _SPAN = "array<struct<start:int,stop:int,value:string>>"
 
 
@@ -64,14 +67,19 @@ def _pair_code(s: Column, i: Column) -> Column:
 def ratios(found: DataFrame) -> DataFrame:
     """One row: ``model``, for each pair of characters log p(second | first) of random strings less that of identifiers."""
     randoms = F.transform(F.concat("assign", "access", "hex"), lambda s: F.struct(s["value"].alias("s"), F.lit(1).alias("random")))
-    plain = F.transform(F.filter("run", lambda r: r["value"].rlike("^[A-Za-z][a-z]+$")), lambda s: F.struct(s["value"].alias("s"), F.lit(0).alias("random")))
+    plain = F.transform(F.filter("run", lambda r: r["value"].rlike(ORDINARY)), lambda s: F.struct(s["value"].alias("s"), F.lit(0).alias("random")))
     samples = found.select(F.explode(F.concat(randoms, plain)).alias("x")).select("x.s", "x.random").where(F.length("s") > 1)
     pairs = samples.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: _pair_code(F.col("s"), i))).alias("code"))
     counts = pairs.groupBy("code").agg(F.sum("random").alias("r"), F.sum(1 - F.col("random")).alias("o"))
     grid = found.sparkSession.range(CODES * CODES).select(F.col("id").cast("int").alias("code")).join(counts, "code", "left").na.fill(0, ["r", "o"])
-    first = grid.groupBy(F.floor(F.col("code") / CODES).alias("a")).agg(F.sum("r").alias("ra"), F.sum("o").alias("oa"))
-    grid = grid.withColumn("a", F.floor(F.col("code") / CODES)).join(first, "a")
-    each = F.log((F.col("r") + 1) / (F.col("ra") + 64)) - F.log((F.col("o") + 1) / (F.col("oa") + 64))  # 64 likely characters
+    grid = grid.select("r", "o", "code", F.floor(F.col("code") / CODES).alias("a"), (F.col("code") % CODES).alias("b"))
+    first = grid.groupBy("a").agg(F.sum("r").alias("ra"), F.sum("o").alias("oa"))
+    second = grid.groupBy("b").agg(F.sum("r").alias("rb"), F.sum("o").alias("ob"))
+    every = grid.agg(F.sum("r").alias("rn"), F.sum("o").alias("on"))
+    grid = grid.join(first, "a").join(second, "b").crossJoin(F.broadcast(every))  # one row
+    # Pairs that a sample lacks fall back to how often their second character comes at all.
+    p = lambda both, of, to, n: (F.col(both) + PRIOR * (F.col(to) + 1) / (F.col(n) + 64)) / (F.col(of) + PRIOR)
+    each = F.log(p("r", "ra", "rb", "rn")) - F.log(p("o", "oa", "ob", "on"))
     return grid.agg(F.transform(F.array_sort(F.collect_list(F.struct("code", each.alias("v")))), lambda x: x["v"]).alias("model"))
 
 
