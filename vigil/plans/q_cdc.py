@@ -27,34 +27,43 @@ def _lines(c):
 
 
 def _typed(c):
-    return cdc.coerce(cdc.decode(_lines(c)), _target(c), "public", "orders", keep=("seq", "op"))
-
-
-_I, _D = changefeed.INSERT_OFFSET, changefeed.INSERT_DELETE_OFFSET
-O.extra("cdc_decoded", [], f"""
-SELECT o_orderkey * 10 AS seq, 'UPDATE' AS op, '1' AS {M}, o_orderkey,
-       CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE o_custkey END AS o_custkey, 'X' AS o_orderstatus,
-       o_totalprice * 2 AS o_totalprice, o_orderdate, o_orderpriority || ' ''x''' AS o_orderpriority
-FROM orders WHERE o_orderkey % 10 = 0
-UNION ALL SELECT o_orderkey * 10, 'DELETE', '2', o_orderkey, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 10 = 1
-UNION ALL SELECT o_orderkey * 10, 'INSERT', '0', o_orderkey + {_I}, o_custkey, 'N', o_totalprice, o_orderdate,
-       o_orderpriority FROM orders WHERE o_orderkey % 10 = 2
-UNION ALL SELECT o_orderkey * 10, 'INSERT', '0', o_orderkey + {_D}, o_custkey, 'N', o_totalprice, o_orderdate,
-       o_orderpriority FROM orders WHERE o_orderkey % 10 = 3
-UNION ALL SELECT o_orderkey * 10 + 1, 'DELETE', '2', o_orderkey + {_D}, NULL, NULL, NULL, NULL, NULL
-       FROM orders WHERE o_orderkey % 10 = 3
-UNION ALL SELECT o_orderkey * 10, 'UPDATE', '1', o_orderkey, o_custkey, 'X', o_totalprice * 3, o_orderdate,
-       o_orderpriority FROM orders WHERE o_orderkey % 10 = 4
-UNION ALL SELECT o_orderkey * 10 + 1, 'UPDATE', '1', o_orderkey, o_custkey, 'X', o_totalprice * 4, o_orderdate,
-       o_orderpriority FROM orders WHERE o_orderkey % 10 = 4
-UNION ALL SELECT o_orderkey * 10 + 1, 'UPDATE', '1', o_orderkey, o_custkey, 'Y', o_totalprice, o_orderdate,
-       o_orderpriority FROM orders WHERE o_orderkey % 10 = 7""")
-O.extra("cdc_final", ["cdc_decoded"], f"""
-SELECT {', '.join(COLS)} FROM orders
-WHERE o_orderkey NOT IN (SELECT o_orderkey FROM cdc_decoded)
-UNION ALL
-SELECT {', '.join(COLS)} FROM cdc_decoded
-QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1 AND {M} <> '2'""")
+    """Typed changes; ``seq`` has the part of a change of key in its last digit, as the oracle writes it."""
+    d = cdc.decode(_lines(c)).withColumn("seq", F.col("seq") * 2 + F.col("part"))
+    return cdc.good_keys(_all(c, d), KEY)
+
+
+def _all(c, decoded):
+    return cdc.coerce(decoded, _target(c), "public", "orders", keep=("seq", "op"), unchanged=True)
+
+
+_I, _D = changefeed.NEW_KEY, changefeed.NEW_THEN_DELETED_KEY
+# The changes as the feed means them, a row each: what each class of key does (see changefeed).
+_SAME = "o_custkey, 'X', o_totalprice * {m}, o_orderdate, o_orderpriority"
+_NEW = "o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority"
+_NONE = "NULL, NULL, NULL, NULL, NULL"
+_CHANGES = [
+    (0, 0, "UPDATE", "o_orderkey", "CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE o_custkey END, 'X', o_totalprice * 2, o_orderdate, o_orderpriority || ' ' || chr(39) || 'x' || chr(39)"),
+    (1, 0, "DELETE", "o_orderkey", _NONE),
+    (2, 0, "INSERT", _I, _NEW), (3, 0, "INSERT", _D, _NEW), (3, 1, "DELETE", _D, _NONE),
+    (4, 0, "UPDATE", "o_orderkey", _SAME.format(m=3)), (4, 1, "UPDATE", "o_orderkey", _SAME.format(m=4)),
+    (7, 1, "UPDATE", "o_orderkey", "o_custkey, 'Y', o_totalprice, o_orderdate, o_orderpriority"),
+    (8, 0, "UPDATE", _I, "o_custkey, 'K', o_totalprice, o_orderdate, o_orderpriority || chr(10) || 'second line'"),
+    (9, 0, "UPDATE", "o_orderkey", "o_custkey, 'T', NULL, o_orderdate, o_orderpriority"),
+]
+_MARK = {"INSERT": "0", "UPDATE": "1", "DELETE": "2"}
+O.extra("cdc_decoded", [], " UNION ALL ".join(
+    f"SELECT (o_orderkey * 10 + {p}) * 2 + 1 AS seq, '{op}' AS op, '{_MARK[op]}' AS {M}, {k} AS o_orderkey, {', '.join(f'{v} AS {n}' for v, n in zip(_v.split(', '), COLS[1:]))} FROM orders WHERE o_orderkey % 10 = {cls}"
+    for cls, p, op, k, _v in _CHANGES)
+    + f" UNION ALL SELECT o_orderkey * 20, 'DELETE', '2', o_orderkey, {_NONE} FROM orders WHERE o_orderkey % 10 = 8")
+O.extra("cdc_final", [], f"""
+SELECT {', '.join(COLS)} FROM orders WHERE o_orderkey % 10 IN (5, 6)
+UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE o_custkey END, 'X', o_totalprice * 2, o_orderdate, o_orderpriority || ' ' || chr(39) || 'x' || chr(39) FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL SELECT {_I}, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 2
+UNION ALL SELECT {', '.join(COLS)} FROM orders WHERE o_orderkey % 10 IN (2, 3)
+UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice * 4, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 4
+UNION ALL SELECT o_orderkey, o_custkey, 'Y', o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 7
+UNION ALL SELECT {_I}, o_custkey, 'K', o_totalprice, o_orderdate, o_orderpriority || chr(10) || 'second line' FROM orders WHERE o_orderkey % 10 = 8
+UNION ALL SELECT o_orderkey, o_custkey, 'T', o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 9""")
 
 _DEC_COLS = ["seq", "op", M] + COLS
 
@@ -90,9 +99,40 @@ def q_cdc_stats(c):
     return cdc.batch_stats(_typed(c))
 
 
-@register("cdc_quarantine", O.sql("SELECT count(*) AS quarantined FROM orders WHERE o_orderkey % 10 = 6"))
+_LOST = """
+SELECT o_orderkey * 10 AS seq, 'garbage line ' || o_orderkey AS value, 'not a change' AS reason FROM orders WHERE o_orderkey % 10 = 6
+UNION ALL SELECT o_orderkey * 10 + 1, 'table public.orders: DELETE: (no-tuple-data)', 'no tuple' FROM orders WHERE o_orderkey % 10 = 9"""
+
+
+@register("cdc_quarantine", O.sql(_LOST))
 def q_cdc_quarantine(c):
-    return cdc.quarantine(_lines(c)).agg(F.count(F.lit(1)).alias("quarantined"))
+    return cdc.quarantine(_lines(c)).select("seq", "value", "reason")
+
+
+@register("cdc_bad_key", O.sql("SELECT o_orderkey * 10 + 2 AS seq, 'B' AS o_orderstatus, 'no key' AS reason FROM orders WHERE o_orderkey % 10 = 9"))
+def q_cdc_bad_key(c):
+    return cdc.bad_keys(_all(c, cdc.decode(_lines(c))), KEY).select("seq", "o_orderstatus", "reason")
+
+
+@register("cdc_key_change", O.sql(f"""
+SELECT o_orderkey AS old_key, {_I} AS new_key, o_orderpriority || chr(10) || 'second line' AS o_orderpriority FROM orders WHERE o_orderkey % 10 = 8"""))
+def q_cdc_key_change(c):
+    """Changes of key as the pair of their delete and their update."""
+    t = _all(c, cdc.decode(_lines(c)).withColumn("seq", F.col("seq") * 2 + F.col("part")))
+    pair = t.withColumn("at", F.floor(F.col("seq") / 2)).groupBy("at").agg(
+        F.max(F.when(F.col("seq") % 2 == 0, F.col(KEY))).alias("old_key"), F.max(F.when(F.col("seq") % 2 == 1, F.col(KEY))).alias("new_key"),
+        F.max("o_orderpriority").alias("o_orderpriority"))
+    return pair.filter(F.col("old_key").isNotNull()).select("old_key", "new_key", "o_orderpriority")
+
+
+@register("cdc_multiline", O.sql("SELECT o_orderkey, o_orderpriority || chr(10) || 'second line' AS o_orderpriority FROM orders"))
+def q_cdc_multiline(c):
+    """A file's text is cut into records: values with line ends stay whole, junk lines between records go."""
+    o = c.source("orders").select(KEY, "o_orderpriority")
+    line = F.concat(F.lit("table public.orders: INSERT: o_orderkey[bigint]:"), F.col(KEY), F.lit(" o_orderpriority[text]:'"), F.replace("o_orderpriority", F.lit("'"), F.lit("''")), F.lit("\nsecond line'"))
+    text = o.groupBy(F.floor(F.col(KEY) / 16)).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(KEY), line.alias("line")))), lambda x: x["line"]), "\njunk between\n").alias("t"))
+    rec = text.select(F.explode(cdc.records(F.col("t"))).alias("value"))
+    return cdc.coerce(cdc.decode(rec), o.schema).select(KEY, "o_orderpriority")
 
 
 @register("cdc_schema_check", None)

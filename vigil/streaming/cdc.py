@@ -1,15 +1,22 @@
 """Change data capture: decode change lines, coerce, mark, compact, apply.
 
 Works on batch and streaming DataFrames alike (every step up to
-``compact`` is a projection). Input lines look like::
+``compact`` is a projection). Input records look like::
 
     table <schema>.<table>: INSERT|UPDATE|DELETE: name[type]:value name[type]:value ...
 
-Text values are single-quoted with doubled inner quotes; the bare token
-``null`` is NULL; ``''`` is the empty string. ``BEGIN``/``COMMIT`` lines are
-skipped; any other non-matching line goes to a quarantine output instead of
-being dropped silently. Decoding is columnar (``regexp_extract_all`` +
-``map_from_arrays`` + higher-order functions): no Python per row.
+Text values are single-quoted with doubled inner quotes and may hold line
+ends; the bare token ``null`` is NULL; ``''`` is the empty string. An update
+that changes the key has ``old-key:`` fields before ``new-tuple:`` fields and
+becomes a delete and an update. A column marked ``unchanged-toast-datum``
+keeps the value it had. ``BEGIN``/``COMMIT`` lines are skipped. All else goes
+to a quarantine output with its reason: lines that are no change, payloads
+that are not understood to their end, repeated columns, changes without a
+tuple, and changes whose key is NULL or does not parse. Decoding is columnar
+(one tokenising pass + higher-order functions): no Python per row.
+
+The order of changes is any orderable column, e.g. a struct of batch, file
+and position; nothing is packed into one number.
 """
 
 from __future__ import annotations
@@ -21,46 +28,111 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Line grammar and markers.
 # ---------------------------------------------------------------------------
-HEADER = r"^table ([^.]+)\.([^:]+): (INSERT|UPDATE|DELETE): (.*)$"
-# one field: (name, possibly double-quoted)[type]:(value, possibly single-quoted)
-FIELD = r"""("(?:[^"]|"")*"|[^\[\s]+)\[(.*?)\]:('(?:[^']|'')*'|\S+)"""
-CONTROL = r"^(BEGIN|COMMIT)( .*)?$"
-ROW_MARKER = "__rowMarker__"
+NAME = r'"(?:[^"]|"")+"|[^".:\s]+'
+HEADER = rf"^table ({NAME})\.({NAME}): (INSERT|UPDATE|DELETE):(?: |$)"
+# A field: name, type in brackets (itself with brackets for arrays), value.
+COLUMN, TYPE, VALUE = r'"(?:[^"]|"")+"|[^"\[\s]+', r"(?:[^\[\]]|\[\])*", r"'(?:[^']|'')*+'|[^\s']+"
+FIELD = rf"({COLUMN})\[({TYPE})\]:({VALUE})"
+OLD_KEY, NEW_TUPLE, NO_TUPLE, UNCHANGED = "old-key:", "new-tuple:", "(no-tuple-data)", "unchanged-toast-datum"
+TOKEN = rf"(?:old-key:|new-tuple:|\(no-tuple-data\)|(?:{COLUMN})\[{TYPE}\]:(?:{VALUE}))"
+BODY = rf"^((?:{TOKEN}(?: +|(?=\n)|$))*+)"
+CONTROL = r"^(?:BEGIN|COMMIT)(?: [^\n]*)?$"
+RECORD_START = r"\n(?=table |BEGIN|COMMIT)"
+ROW_MARKER, UNCHANGED_COL = "__rowMarker__", "__unchanged__"
 MARKERS = {"INSERT": "0", "UPDATE": "1", "DELETE": "2", "UPSERT": "4"}
 TRUE_TEXT = ("t", "true", "TRUE", "1")
+FIELD_STRUCT = "array<struct<name:string,type:string,value:string>>"
 
 
 def _unquote(x: Column, q: str) -> Column:
-    inner = F.substring(x, 2, F.length(x) - 2)
+    inner = F.substring(x, F.lit(2), F.length(x) - 2)
     return F.when(x.startswith(q) & x.endswith(q) & (F.length(x) >= 2),
                   F.replace(inner, F.lit(q + q), F.lit(q))).otherwise(x)
 
 
-def decode(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Lines -> (schema_name, table_name, op, marker, fields map<string,string>)
-    for change lines; other columns (e.g. a sequence) are kept."""
+def records(text: Column) -> Column:
+    """The records of a change file: a value may hold line ends, so a record
+    ends where the next one starts."""
+    return F.split(text, RECORD_START)
+
+
+def _parsed(lines: DataFrame, value_col: str) -> DataFrame:
+    """Adds ``__ok`` (a change understood to its end), ``__tokens`` and
+    ``__junk``: lines after the record that belong to no record."""
     v = F.col(value_col)
+    payload = F.regexp_replace(v, HEADER, "")
+    df = lines.withColumn("__payload", F.when(v.rlike(HEADER), payload))
+    df = df.withColumn("__body", F.regexp_extract("__payload", BODY, 1))
+    tail = F.substring(F.col("__payload"), F.length("__body") + 1, F.length("__payload"))
+    df = df.withColumn("__tail", tail)
+    df = df.withColumn("__tokens", F.regexp_extract_all("__body", F.lit(TOKEN), 0))
+    names = F.transform(_fields(F.col("__tokens")), lambda f: f["name"])
+    # old-key and new-tuple may both have a column; within one of them it is there once.
+    cut = F.array_position("__tokens", NEW_TUPLE)
+    twice = lambda t: F.size(_names(t)) != F.size(F.array_distinct(_names(t)))
+    repeated = twice(F.slice("__tokens", F.lit(1), F.greatest(cut - 1, F.lit(0)).cast("int"))) | twice(_after(cut))
+    reason = (F.when(F.col("__payload").isNull(), "not a change")
+              .when((F.col("__tail") != "") & ~F.col("__tail").startswith("\n"), "payload not understood")
+              .when(F.size(names) == 0, "no tuple").when(repeated, "repeated column"))
+    return df.withColumn("__reason", reason)
+
+
+def _fields(tokens: Column) -> Column:
+    own = F.filter(tokens, lambda t: ~t.isin(OLD_KEY, NEW_TUPLE, NO_TUPLE))
+    return F.transform(own, lambda t: F.struct(
+        _unquote(F.regexp_extract(t, FIELD, 1), '"').alias("name"), F.regexp_extract(t, FIELD, 2).alias("type"),
+        F.regexp_extract(t, FIELD, 3).alias("value")))
+
+
+def _names(tokens: Column) -> Column:
+    return F.transform(_fields(tokens), lambda f: f["name"])
+
+
+def _after(cut: Column) -> Column:
+    return F.slice("__tokens", (cut + 1).cast("int"), F.size("__tokens"))
+
+
+def _maps(fields: Column) -> list[Column]:
+    known = F.filter(fields, lambda f: f["value"] != UNCHANGED)
+    value = lambda f: F.when(f["value"] == "null", F.lit(None).cast("string")).otherwise(_unquote(f["value"], "'"))
+    return [F.map_from_entries(F.transform(known, lambda f: F.struct(f["name"], value(f)))).alias("fields"),
+            F.map_from_entries(F.transform(known, lambda f: F.struct(f["name"], f["type"]))).alias("field_types"),
+            F.transform(F.filter(fields, lambda f: f["value"] == UNCHANGED), lambda f: f["name"]).alias(UNCHANGED_COL)]
+
+
+def decode(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Records -> (schema_name, table_name, op, part, marker, fields and field_types by name, unchanged columns);
+    other columns (e.g. an order) are kept. ``part`` orders the delete (0) and the update (1) of a change of key."""
     keep = [c for c in lines.columns if c != value_col]
-    payload = F.regexp_extract(v, HEADER, 4)
-    names = F.transform(F.regexp_extract_all(payload, F.lit(FIELD), 1), lambda x: _unquote(x, '"'))
-    types = F.regexp_extract_all(payload, F.lit(FIELD), 2)
-    raw_vals = F.regexp_extract_all(payload, F.lit(FIELD), 3)
-    vals = F.transform(raw_vals, lambda x: F.when(x == "null", F.lit(None).cast("string"))
-                       .otherwise(_unquote(x, "'")))
-    out = lines.filter(v.rlike(HEADER)).select(
-        *keep,
-        F.regexp_extract(v, HEADER, 1).alias("schema_name"),
-        F.regexp_extract(v, HEADER, 2).alias("table_name"),
-        F.regexp_extract(v, HEADER, 3).alias("op"),
-        F.map_from_arrays(names, vals).alias("fields"),
-        F.map_from_arrays(names, types).alias("field_types"))
+    v = F.col(value_col)
+    p = _parsed(lines, value_col).filter(F.col("__reason").isNull())
+    cut = F.array_position("__tokens", NEW_TUPLE)
+    change = lambda part, op, fields: F.struct(F.lit(part).alias("part"), op.alias("op"), fields.cast(FIELD_STRUCT).alias("f"))
+    op = F.regexp_extract(v, HEADER, 3)
+    both = F.array(change(0, F.lit("DELETE"), _fields(F.slice("__tokens", F.lit(1), (cut - 1).cast("int")))), change(1, op, _fields(_after(cut))))
+    each = F.when(cut > 0, both).otherwise(F.array(change(1, op, _fields(F.col("__tokens")))))
+    out = p.select(*keep, _unquote(F.regexp_extract(v, HEADER, 1), '"').alias("schema_name"),
+                   _unquote(F.regexp_extract(v, HEADER, 2), '"').alias("table_name"), F.explode(each).alias("__c"))
+    # A full old tuple with the same values says nothing that the update does not.
+    out = out.select(*keep, "schema_name", "table_name", F.col("__c.op").alias("op"), F.col("__c.part").alias("part"), *_maps(F.col("__c.f")))
     return out.withColumn(ROW_MARKER, mark(F.col("op")))
 
 
 def quarantine(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Lines that are neither a change nor BEGIN/COMMIT."""
+    """Records that are neither a change nor BEGIN/COMMIT, and lines that follow a record without being one, with
+    the ``reason``."""
+    p = _parsed(lines, value_col)
+    keep = [c for c in lines.columns if c != value_col]
     v = F.col(value_col)
-    return lines.filter(~v.rlike(HEADER) & ~v.rlike(CONTROL) & (F.trim(v) != ""))
+    control = v.rlike(CONTROL)
+    whole = F.when(F.col("__reason").isNotNull() & ~control & (F.trim(v) != ""), F.struct(v.alias("value"), F.col("__reason").alias("reason")))
+    # After BEGIN or COMMIT the rest of the chunk is junk as well.
+    rest = F.when(F.col("__reason").isNull() & F.col("__tail").startswith("\n"), F.col("__tail"))
+    junk = F.transform(F.filter(F.split(F.coalesce(rest, F.lit("")), "\n"), lambda x: F.trim(x) != ""), lambda x: F.struct(x.alias("value"), F.lit("not a change").alias("reason")))
+    # Lines after a BEGIN or COMMIT, or junk in several lines, are single lines too.
+    lone = F.transform(F.filter(F.split(whole["value"], "\n"), lambda x: (F.trim(x) != "") & ~x.rlike(CONTROL)), lambda x: F.struct(x.alias("value"), whole["reason"].alias("reason")))
+    found = F.when(whole.isNull(), junk).when(whole["reason"] == "not a change", lone).otherwise(F.array(whole))
+    return p.select(*keep, F.explode(found).alias("__q")).select(*keep, F.col("__q.value").alias(value_col), F.col("__q.reason").alias("reason"))
 
 
 def mark(op: Column) -> Column:
@@ -72,9 +144,10 @@ def mark(op: Column) -> Column:
 
 
 def coerce(decoded: DataFrame, target: T.StructType, schema_name: str | None = None,
-           table_name: str | None = None, keep=()) -> DataFrame:
+           table_name: str | None = None, keep=(), unchanged: bool = False) -> DataFrame:
     """Fields map -> typed target columns (in target order) + marker last.
-    A value that does not parse is NULL; booleans are true for t/true/TRUE/1."""
+    A value that does not parse is NULL; booleans are true for t/true/TRUE/1.
+    ``unchanged`` keeps the list of columns whose value a change leaves as it was."""
     df = decoded
     if schema_name is not None:
         df = df.filter(F.col("schema_name") == schema_name)
@@ -90,7 +163,17 @@ def coerce(decoded: DataFrame, target: T.StructType, schema_name: str | None = N
         else:
             c = raw.try_cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*keep, *cols, F.col(ROW_MARKER))
+    unchanged = [F.col(UNCHANGED_COL)] if unchanged else []
+    return df.select(*keep, *cols, *unchanged, F.col(ROW_MARKER))
+
+
+def bad_keys(typed: DataFrame, key: str) -> DataFrame:
+    """Changes that name no row: their key is NULL or does not parse. They are quarantined, never applied."""
+    return typed.filter(F.col(key).isNull()).withColumn("reason", F.lit("no key"))
+
+
+def good_keys(typed: DataFrame, key: str) -> DataFrame:
+    return typed.filter(F.col(key).isNotNull())
 
 
 def check_schema(expected: T.StructType, actual: T.StructType, spark) -> DataFrame:
@@ -114,38 +197,62 @@ def seed(df: DataFrame) -> DataFrame:
 
 
 def compact(changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """Last change per key wins (by ``seq``). A partial aggregate
-    (``max_by`` combines map-side), so a hot key costs one row per task.
-    A key inserted then deleted in the batch keeps its delete."""
+    """Last change per key wins (by ``seq``, any orderable column). A partial
+    aggregate (``max_by`` combines map-side), so a hot key costs one row per
+    task. A key inserted then deleted in the batch keeps its delete. Columns
+    that the last change leaves unchanged take the last value in the batch;
+    those without one stay listed as unchanged. Changes without a key are not
+    applied: see ``bad_keys``."""
+    changes = good_keys(changes, key)
     cols = [c for c in changes.columns if c != key]
-    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(seq))
-    return changes.groupBy(key).agg(last.alias("__last")).select(key, "__last.*")
+    if UNCHANGED_COL not in cols:
+        last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(seq))
+        return changes.groupBy(key).agg(last.alias("__last")).select(key, "__last.*")
+    own = [c for c in cols if c not in (seq, UNCHANGED_COL, ROW_MARKER)]
+    told = lambda c: ~F.array_contains(UNCHANGED_COL, c)
+    out = changes.groupBy(key).agg(
+        F.max(seq).alias(seq), F.max_by(ROW_MARKER, seq).alias(ROW_MARKER),
+        *[F.max_by(F.struct(c), F.when(told(c), F.col(seq))).alias(f"__v_{c}") for c in own])
+    still = F.filter(F.array(*[F.when(F.col(f"__v_{c}").isNull(), F.lit(c)) for c in own]), lambda x: x.isNotNull()) if own else F.array().cast("array<string>")
+    value = {c: F.col(f"__v_{c}")[c].alias(c) for c in own}
+    return out.select(key, *[still.alias(c) if c == UNCHANGED_COL else value.get(c, F.col(c)) for c in cols])
 
 
 def apply(snapshot: DataFrame, compacted: DataFrame, key: str) -> DataFrame:
     """Insert/update replace the row with that key; delete removes it; rows
-    untouched by the batch pass through.
+    untouched by the batch pass through, a row with a NULL key too.
 
     One full outer join on the key, so the snapshot and the batch are each
     read once (the batch side is small per micro-batch; AQE broadcasts it
     when its measured size allows and otherwise shuffles both on the key)."""
     target_cols = [c for c in snapshot.columns if c != ROW_MARKER]
-    b = compacted.select(F.col(key).alias("__bk"), F.col(ROW_MARKER).alias("__m"),
+    compacted = good_keys(compacted, key)
+    unchanged = F.col(UNCHANGED_COL) if UNCHANGED_COL in compacted.columns else F.array().cast("array<string>")
+    b = compacted.select(F.col(key).alias("__bk"), F.col(ROW_MARKER).alias("__m"), unchanged.alias("__u"),
                          *[F.col(c).alias(f"__b_{c}") for c in target_cols if c != key])
     j = snapshot.select(*target_cols).join(b, F.col(key) == F.col("__bk"), "full_outer")
     hit = F.col("__bk").isNotNull()
     out = [F.when(hit, F.col("__bk")).otherwise(F.col(key)).alias(key) if c == key
-           else F.when(hit, F.col(f"__b_{c}")).otherwise(F.col(c)).alias(c) for c in target_cols]
+           else F.when(hit & ~F.array_contains("__u", c), F.col(f"__b_{c}")).otherwise(F.col(c)).alias(c) for c in target_cols]
     return j.filter(~hit | (F.col("__m") != MARKERS["DELETE"])).select(*out)
 
 
+def before_all(kind: T.DataType) -> Column:
+    """An order value below every change: -1 or the empty string, in each part of a struct."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[before_all(f.dataType).alias(f.name) for f in kind.fields])
+    return F.lit("" if isinstance(kind, T.StringType) else -1).cast(kind)
+
+
 def current_view(seed_df: DataFrame, changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """Merge-on-read: latest version by key over seed (seq -1) + change feed."""
-    s = seed(seed_df).withColumn(seq, F.lit(-1).cast("long"))
+    """Merge-on-read: latest version by key over seed + change feed."""
+    s = seed(seed_df).withColumn(seq, before_all(changes.schema[seq].dataType))
+    if UNCHANGED_COL in changes.columns:
+        s = s.withColumn(UNCHANGED_COL, F.array().cast("array<string>"))
     cols = [c for c in changes.columns]
     merged = s.select(*cols).unionByName(changes.select(*cols))
     last = compact(merged, key, seq)
-    return last.filter(F.col(ROW_MARKER) != MARKERS["DELETE"]).drop(ROW_MARKER, seq)
+    return last.filter(F.col(ROW_MARKER) != MARKERS["DELETE"]).drop(ROW_MARKER, seq, UNCHANGED_COL)
 
 
 def batch_stats(changes: DataFrame) -> DataFrame:

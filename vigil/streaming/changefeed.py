@@ -4,12 +4,14 @@ One scan of ``orders`` emits, per key class (``o_orderkey % 10``):
 
     0 update (status X, price x2, priority gains a quoted word; custkey NULL when key % 20 = 0)
     1 delete (key only)
-    2 insert of a new key (key + 100000000, status N)
+    2 insert of a new key (-2 * key - 1, status N)
     3 insert of a new key then its delete (collapses to absent)
     4 two updates, the later one wins (price x3 then x4)
     5 a change to another table (filtered out)
     6 a line that is not a change (quarantined)
     7 BEGIN / COMMIT around an update of status only
+    8 a change of key (to -2 * key - 1) with the old key first; the new priority holds a line end
+    9 an update that leaves the price unchanged, then a change without a tuple and one without a usable key
 
 ``seq`` orders the lines (key * 10 + position). The expected final state is
 computed independently by the oracle SQL from ``orders`` itself.
@@ -20,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-INSERT_OFFSET = 100000000
-INSERT_DELETE_OFFSET = 200000000
+# Keys of new rows: odd and even numbers below zero, which orders do not have.
+NEW_KEY, NEW_THEN_DELETED_KEY = "(-2 * o_orderkey - 1)", "(-2 * o_orderkey - 2)"
 
 
 def _q(c: Column) -> Column:
@@ -62,11 +64,11 @@ def change_lines(orders: DataFrame) -> DataFrame:
     items = F.array(
         item(0, cls == 0, _line("UPDATE", _row_payload(k, upd_cust, F.lit("X"), price * 2, date, quoted_prio))),
         item(0, cls == 1, _line("DELETE", F.concat(F.lit("o_orderkey[bigint]:"), k.cast("string")))),
-        item(0, cls == 2, _line("INSERT", _row_payload(k + INSERT_OFFSET, cust, F.lit("N"), price, date, prio))),
-        item(0, cls == 3, _line("INSERT", _row_payload(k + INSERT_DELETE_OFFSET, cust, F.lit("N"), price,
+        item(0, cls == 2, _line("INSERT", _row_payload(F.expr(NEW_KEY), cust, F.lit("N"), price, date, prio))),
+        item(0, cls == 3, _line("INSERT", _row_payload(F.expr(NEW_THEN_DELETED_KEY), cust, F.lit("N"), price,
                                                        date, prio))),
         item(1, cls == 3, _line("DELETE", F.concat(F.lit("o_orderkey[bigint]:"),
-                                                  (k + INSERT_DELETE_OFFSET).cast("string")))),
+                                                  F.expr(NEW_THEN_DELETED_KEY).cast("string")))),
         item(0, cls == 4, _line("UPDATE", _row_payload(k, cust, F.lit("X"), price * 3, date, prio))),
         item(1, cls == 4, _line("UPDATE", _row_payload(k, cust, F.lit("X"), price * 4, date, prio))),
         item(0, cls == 5, _line("INSERT", F.concat(F.lit("l_orderkey[bigint]:"), k.cast("string")),
@@ -75,6 +77,14 @@ def change_lines(orders: DataFrame) -> DataFrame:
         item(0, cls == 7, F.concat(F.lit("BEGIN "), k.cast("string"))),
         item(1, cls == 7, _line("UPDATE", _row_payload(k, cust, F.lit("Y"), price, date, prio))),
         item(2, cls == 7, F.concat(F.lit("COMMIT "), k.cast("string"))),
+        item(0, cls == 8, _line("UPDATE", F.concat(F.lit("old-key: o_orderkey[bigint]:"), k.cast("string"), F.lit(" new-tuple: "),
+                                                   _row_payload(F.expr(NEW_KEY), cust, F.lit("K"), price, date, F.concat(prio, F.lit("\nsecond line")))))),
+        item(0, cls == 9, _line("UPDATE", F.concat_ws(" ", F.concat(F.lit("o_orderkey[bigint]:"), k.cast("string")), F.concat(F.lit("o_custkey[bigint]:"), _num(cust)),
+                                                      F.lit("o_orderstatus[character varying]:'T' o_totalprice[double precision]:unchanged-toast-datum"),
+                                                      F.concat(F.lit("o_orderdate[timestamp without time zone]:"), _q(F.date_format(date, "yyyy-MM-dd HH:mm:ss"))),
+                                                      F.concat(F.lit("o_orderpriority[character varying]:"), _q(prio))))),
+        item(1, cls == 9, _line("DELETE", F.lit("(no-tuple-data)"))),
+        item(2, cls == 9, _line("UPDATE", F.lit("o_orderkey[bigint]:none o_orderstatus[character varying]:'B'"))),
     )
     x = orders.select(k, F.explode(items).alias("it")).filter(F.col("it.value").isNotNull())
     return x.select((k * 10 + F.col("it.pos")).cast("long").alias("seq"), F.col("it.value").alias("value"))

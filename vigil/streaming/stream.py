@@ -1,10 +1,11 @@
 """Structured Streaming jobs: CDC apply loop and streaming rules.
 
-``run_stream`` reads change-line text files as they land, decodes and
-coerces them, and in ``foreachBatch`` appends each micro-batch's compacted
-changes to an append-only change table partitioned by batch id
-(``batch=%020d``). Writing a batch overwrites exactly its own folder, so a
-replayed batch (at-least-once delivery after a failure) changes nothing.
+``run_stream`` reads change files as they land, decodes and coerces them, and
+in ``foreachBatch`` appends each micro-batch's compacted changes to an
+append-only change table partitioned by batch id (``batch=%020d``). Writing a
+batch overwrites exactly its own folder, so a replayed batch (at-least-once
+delivery after a failure) changes nothing. Changes are ordered by the struct
+(batch, file, record, part): any number of files, records and batches.
 ``current`` is merge-on-read: latest change per key over seed + feed;
 ``snapshot`` folds the feed into a new seed version (never overwriting a
 folder that readers use). Progress lives in the streaming checkpoint.
@@ -12,7 +13,7 @@ folder that readers use). Progress lives in the streaming checkpoint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,27 +21,17 @@ from ..operators import rules as R
 from ..operators import silver
 from . import cdc
 
-LINES_PER_FILE = 10 ** 9
-FILES_PER_BATCH = 10 ** 3
-
-
-def _with_seq(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Order inside a micro-batch: batch, then file name, then line number."""
-    files = batch.select("file").distinct()  # one row per file in the batch
-    ranked = files.withColumn("__f", F.row_number().over(Window.orderBy("file")) - 1)
-    b = batch.join(F.broadcast(ranked), "file")
-    seq = (F.lit(batch_id).cast("long") * (FILES_PER_BATCH * LINES_PER_FILE)
-           + F.col("__f").cast("long") * LINES_PER_FILE + F.col("pos").cast("long"))
-    return b.withColumn("seq", seq).drop("__f", "file", "pos")
+ORDER = "struct<batch:bigint,file:string,pos:int,part:int>"
 
 
 def read_lines_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Whole files as they land; one row per line with its position."""
+    """Whole files as they land; one row per record with its position. A file is one value, so the writer must
+    rotate change files well below 2 GB; files are spread over tasks."""
     r = spark.readStream.format("text").option("wholetext", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.load(source_dir).select(F.col("_metadata.file_path").alias("file"), "value")
-    return df.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "value"))
+    df = r.load(source_dir).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("landed_at"), "value")
+    return df.select("file", "landed_at", F.posexplode(cdc.records(F.col("value"))).alias("pos", "value"))
 
 
 def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint: str,
@@ -50,14 +41,18 @@ def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint
     lines = read_lines_stream(spark, source_dir, max_files_per_trigger)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        b = _with_seq(batch, batch_id)
-        typed = cdc.coerce(cdc.decode(b), target, schema_name, table_name, keep=("seq",))
+        b = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        seq = F.struct("batch", "file", "pos", "part").cast(ORDER).alias("seq")
+        decoded = cdc.decode(b).withColumn("seq", seq)
+        typed = cdc.coerce(decoded, target, schema_name, table_name, keep=("seq", "landed_at"), unchanged=True)
         compacted = cdc.compact(typed, key, "seq")
-        (compacted.write.mode("overwrite").option("compression", "zstd")
-         .parquet(f"{target_dir}/changes/batch={batch_id:020d}"))
-        cdc.batch_stats(typed).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").json(
-            f"{target_dir}/stats/batch={batch_id:020d}")
-        cdc.quarantine(b).write.mode("overwrite").parquet(f"{target_dir}/quarantine/batch={batch_id:020d}")
+        at = f"batch={batch_id:020d}"
+        compacted.write.mode("overwrite").option("compression", "zstd").parquet(f"{target_dir}/changes/{at}")
+        good = cdc.good_keys(typed, key)
+        (cdc.batch_stats(good).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").json(f"{target_dir}/stats/{at}"))
+        named = cdc.bad_keys(typed, key).select("seq", F.to_json(F.struct(*target.names)).alias("value"), "reason")
+        lost = cdc.quarantine(b.withColumn("part", F.lit(0))).select(seq, "value", "reason")
+        lost.unionByName(named).write.mode("overwrite").parquet(f"{target_dir}/quarantine/{at}")
 
     w = lines.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     if trigger == "availableNow":
@@ -68,19 +63,25 @@ def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint
 
 
 def changes(spark: SparkSession, target_dir: str, target: T.StructType) -> DataFrame:
-    """The change feed written by ``run_stream`` (empty if none yet)."""
-    schema = T.StructType(list(target.fields) + [T.StructField("seq", T.LongType()),
-                                                 T.StructField(cdc.ROW_MARKER, T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(f"{target_dir}/changes")
-    except Exception:  # noqa: BLE001 - no batch landed yet
+    """The change feed written by ``run_stream``; empty if no batch has landed. Any other failure is raised."""
+    extra = T.StructType.fromDDL(f"seq {ORDER}, landed_at timestamp, {cdc.UNCHANGED_COL} array<string>, {cdc.ROW_MARKER} string")
+    schema = T.StructType(list(target.fields) + extra.fields)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target_dir}/changes")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{target_dir}/changes")
+
+
+def high_water(spark: SparkSession, target_dir: str, target: T.StructType) -> DataFrame:
+    """The last change in the feed: one row with its order, and how many batches and keys the feed holds."""
+    ch = spark.read.schema(changes(spark, target_dir, target).schema.add("batch", "string")).parquet(f"{target_dir}/changes")
+    return ch.agg(F.max("seq").alias("last"), F.countDistinct("batch").alias("batches"), F.count("*").alias("changes"))
 
 
 def current(spark: SparkSession, seed_df: DataFrame, target_dir: str, target: T.StructType, key: str) -> DataFrame:
     """Merge-on-read view of the mirror."""
     ch = changes(spark, target_dir, target)
-    cols = [f.name for f in target.fields] + ["seq", cdc.ROW_MARKER]
+    cols = [f.name for f in target.fields] + ["seq", cdc.UNCHANGED_COL, cdc.ROW_MARKER]
     return cdc.current_view(seed_df.select(*[f.name for f in target.fields]), ch.select(*cols), key)
 
 
