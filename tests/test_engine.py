@@ -12,12 +12,25 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(*COLS).collect())
 
 
-def test_skew_split_equals_plain_windows(cat):
+def test_features_equal_plain_windows(cat):
     s = cat.silver()
     plain = _rows(features.add_windows_plain(s))
-    assert _rows(features.add(s, hot_rows=0)) == plain          # every customer on the split path
-    assert _rows(features.add(s, hot_rows=10 ** 9)) == plain    # none
-    assert _rows(features.add(s.repartition(1), hot_rows=0, buckets=3)) == plain
+    assert _rows(features.add(s)) == plain
+    assert _rows(features.add(s.repartition(1), ranges=3)) == plain
+
+
+def test_features_with_hot_keys_mixed_with_others(cat):
+    """One customer and one amount hold 30% of the rows each, a seventh of the amounts, customers and times is NULL."""
+    s = cat.silver()
+    i = F.col("_mirror_row_id")
+    hot = (s.withColumn("customer_id", F.when(i % 7 == 3, F.lit(None).cast("string")).when(i % 10 < 3, F.lit("HOT")).otherwise(F.col("customer_id")))
+           .withColumn("txn_amount", F.when(i % 7 == 1, F.lit(None).cast("decimal(18,2)")).when((i * 3) % 10 < 3, F.lit(5).cast("decimal(18,2)")).otherwise(F.col("txn_amount")))
+           .withColumn("txn_ts", F.when(i % 7 != 5, F.col("txn_ts"))))
+    assert _rows(features.add(hot, ranges=4)) == _rows(features.add_windows_plain(hot))
+    # No range holds more than its share of the hot customer's amounts.
+    wide = s.select(i.alias("_mirror_row_id"), F.lit("HOT").alias("customer_id"), F.rand(1).cast("decimal(18,9)").alias("txn_amount"))
+    sizes = features.amount_ranks(wide, 4).withColumn("p", F.floor(F.col("__less") * 4 / F.col("__n"))).groupBy("p").count().collect()
+    assert len(sizes) == 4
 
 
 def test_dedup_forms_agree(cat):

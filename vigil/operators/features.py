@@ -11,26 +11,21 @@ Columns added:
 
 Orderings put NULLs last, as an ascending SQL sort does in most engines.
 
-Skew. One customer (or the NULL customer) may own a third of all rows. A
-plain ``Window.partitionBy("customer_id")`` would sort that group inside one
-task. So a cheap pre-pass (``customer_id`` only, partially aggregated)
-counts rows per customer; customers above ``hot_rows`` rows -- at most
-``rows / hot_rows`` of them, so the table is size-bounded and broadcast --
-and the NULL customer take the *split* path:
-
-* W1 comes from the pre-pass count (no window at all);
-* W2 is an exact rank: each hot customer's amounts are cut into ranges at
-  approximate quantiles (a mergeable sketch); rows are ranked inside
-  (customer, range) -- many tasks -- and a per-(customer, range) offset
-  table (bounded: hot customers x ranges) turns local ranks into global
-  ones. Equal amounts always share a range, so ties are exact;
-* W4 is a partial aggregate ``min(struct(ts, key))`` per (customer, merchant),
-  joined back on the unique row key (uniform shuffle, no hot key).
-
-All other customers use one window exchange on ``customer_id`` for W1, W2
-and W4 together (their groups are at most ``hot_rows`` rows).
-W3 is an aggregate then a null-safe join back; AQE splits a skewed join
-partition at run time.
+Skew. Any customer (or the NULL customer), amount or account may own a third
+of all rows, so no step sorts the rows of one key in one task, and there is one
+path for all keys, without thresholds. All work is on a narrow projection:
+
+* W1 and W2 come from the histogram (customer, amount, rows), a partial
+  aggregate. The histogram is range-partitioned on (customer, amount), so a
+  customer gets tasks in proportion to its different amounts; running sums
+  inside a range plus one offset per (range, customer) are exact ranks. Equal
+  amounts are one histogram row, hence ties are exact. The ranged histogram is
+  checkpointed once: all readers and retried tasks see the same ranges.
+* The NULL customer is only counted, never ranked: its W2 is NULL by rule.
+* W3 is a partial aggregate, W4 a partial ``min(struct(ts, key))``.
+
+The results are joined back on narrow rows (AQE splits a join partition that a
+hot key makes large) and then once, on the unique row key, to the full rows.
 """
 
 from __future__ import annotations
@@ -38,16 +33,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A customer with more rows than this is handled by the split path.
-HOT_ROWS = 2_000_000
-# Amount ranges a hot customer is cut into (rows per task ~ rows / buckets).
-SPLIT_BUCKETS = 1024
-# Cap on (hot customers x ranges) entries in the broadcast boundary table.
-MAX_BOUND_ENTRIES = 4_000_000
+from ..session import ensure_checkpoint_dir
+
 MIN_HISTORY = 5
 
-_N = "__cust_n"
-_PID = "__pid"
 _ID = "_mirror_row_id"
 
 
@@ -81,57 +70,32 @@ def add_windows_plain(df: DataFrame) -> DataFrame:
                 Window.partitionBy("account_no", F.date_trunc("hour", "txn_ts")))))
 
 
-def _normal_branch(df: DataFrame) -> DataFrame:
-    wc = Window.partitionBy("customer_id")
-    wcm = Window.partitionBy("customer_id", "merchant_id").orderBy(*_ts_order())
-    pct = F.percent_rank().over(wc.orderBy(F.col("txn_amount").asc_nulls_last()))
-    return (df.withColumn("cust_txn_count", F.count(F.lit(1)).over(wc))
-            .withColumn("amt_pct_in_customer", _pct_gate(pct, F.col("cust_txn_count")))
-            .withColumn("first_seen_merchant", _first_gate(F.row_number().over(wcm) == 1)))
-
-
-def _split_branch(df: DataFrame, buckets: int) -> DataFrame:
-    """Rows of hot customers and of the NULL customer; ``__cust_n`` holds the
-    customer's row count from the pre-pass."""
-    amount = F.col("txn_amount")
-    # Cut each hot customer's amounts into ``buckets`` ranges at
-    # approximate quantiles (a mergeable sketch, one row per hot customer,
-    # so broadcasting it is size-bounded). The bucket is a deterministic,
-    # monotone function of the amount: equal amounts share a bucket and a
-    # re-executed task computes the same buckets.
-    fracs = [i / buckets for i in range(1, buckets)]
-    bounds = (df.filter(F.col("customer_id").isNotNull() & amount.isNotNull())
-              .groupBy("customer_id")
-              .agg(F.percentile_approx(amount, fracs, 10000).alias("__bounds")))
-    x = df.join(F.broadcast(bounds), "customer_id", "left")
-    bucket = (F.when(F.col("customer_id").isNull(), F.pmod(F.xxhash64(_ID), F.lit(buckets)))
-              .when(amount.isNull(), F.lit(buckets))
-              .otherwise(F.size(F.filter("__bounds", lambda b: b < amount))))
-    x = x.withColumn(_PID, bucket.cast("int")).drop("__bounds")
-    # Rank inside (customer, bucket): rows with a smaller amount in this bucket.
-    local = x.withColumn("__less", F.rank().over(
-        Window.partitionBy("customer_id", _PID).orderBy(amount.asc_nulls_last())) - 1)
-    # Rows of the customer in lower buckets: (hot customers + 1) x (buckets + 1) rows.
-    per_bucket = x.groupBy("customer_id", _PID).agg(F.count(F.lit(1)).alias("__m"))
-    offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__m").over(
-        Window.partitionBy("customer_id").orderBy(_PID)
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__m")
-    ranked = local.join(F.broadcast(offsets), local["customer_id"].eqNullSafe(offsets["customer_id"])
-                        & (local[_PID] == offsets[_PID]), "left").drop(offsets["customer_id"]).drop(offsets[_PID])
-    n = F.col(_N)
-    pct = (F.col("__off") + F.col("__less")).cast("double") / (n - 1).cast("double")
-
-    # Earliest (txn_ts, key) per (customer, merchant) by partial aggregation.
-    firsts = (df.filter(F.col("customer_id").isNotNull() & F.col("merchant_id").isNotNull())
-              .groupBy("customer_id", "merchant_id")
-              .agg(F.min(F.struct(F.col("txn_ts").isNull().alias("a"),
-                                  F.col("txn_ts").alias("b"), F.col(_ID).alias("c"))).alias("__f"))
-              .select(F.col("__f.c").alias(_ID), F.lit(True).alias("__first")))
-    return (ranked.join(firsts, _ID, "left")
-            .withColumn("cust_txn_count", n)
-            .withColumn("amt_pct_in_customer", _pct_gate(pct, n))
-            .withColumn("first_seen_merchant", _first_gate(F.col("__first")))
-            .drop(_PID, "__less", "__off", "__first"))
+def amount_ranks(narrow: DataFrame, ranges: int | None = None) -> DataFrame:
+    """``__c, __a, __n, __less``: for each customer and amount the customer's rows and those with a smaller amount."""
+    spark = narrow.sparkSession
+    ensure_checkpoint_dir(spark)
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hist = (narrow.filter(F.col("customer_id").isNotNull())
+            .groupBy(F.col("customer_id").alias("__c"), F.col("txn_amount").alias("__a")).agg(F.count(F.lit(1)).alias("__m")))
+    ranged = (hist.repartitionByRange(ranges, F.col("__c").asc(), F.col("__a").asc_nulls_last())
+              .withColumn("__p", F.spark_partition_id()).checkpoint(eager=True))
+    # At most one row per range and customer that is in it.
+    per = ranged.groupBy("__c", "__p").agg(F.sum("__m").alias("__pm"))
+    whole = Window.partitionBy("__c")
+    before = whole.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("__c", "__p", F.coalesce(F.sum("__pm").over(before), F.lit(0)).alias("__off"), F.sum("__pm").over(whole).alias("__n"))
+    inside = (Window.partitionBy("__p", "__c").orderBy(F.col("__a").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    local = ranged.withColumn("__l", F.coalesce(F.sum("__m").over(inside), F.lit(0)))
+    return local.join(per, ["__c", "__p"]).select("__c", "__a", "__n", (F.col("__l") + F.col("__off")).alias("__less"))
+
+
+def first_rows(narrow: DataFrame) -> DataFrame:
+    """Keys of the earliest row (NULL time last, then key) of each customer and merchant."""
+    return (narrow.filter(F.col("customer_id").isNotNull() & F.col("merchant_id").isNotNull())
+            .groupBy("customer_id", "merchant_id")
+            .agg(F.min(F.struct(F.col("txn_ts").isNull().alias("a"), F.col("txn_ts").alias("b"), F.col(_ID).alias("c"))).alias("__f"))
+            .select(F.col("__f.c").alias("__first_id")))
 
 
 def hourly_counts(df: DataFrame) -> DataFrame:
@@ -150,20 +114,18 @@ def add_hourly_velocity(df: DataFrame, counts: DataFrame | None = None) -> DataF
     return keyed.join(counts, cond, "left").drop("__hr", "__acct", "__hr2")
 
 
-def add(df: DataFrame, hot_rows: int = HOT_ROWS, buckets: int = SPLIT_BUCKETS) -> DataFrame:
-    """Add W1-W4 (and ``txn_hour``) to silver rows, skew-safe."""
-    df = df.withColumn("txn_hour", F.hour("txn_ts"))
-    counts = df.groupBy("customer_id").agg(F.count(F.lit(1)).alias(_N))
-    # Bounded: at most rows / hot_rows hot customers, plus the NULL customer.
-    hot = counts.filter(F.col("customer_id").isNull() | (F.col(_N) > F.lit(hot_rows)))
-    hot = hot.withColumnRenamed("customer_id", "__hot_c")
-    # The boundary table broadcast on the split path has hot x buckets
-    # entries; size it from the (small, already aggregated) hot-key count.
-    n_hot = hot.count()
-    buckets = max(2, min(buckets, MAX_BOUND_ENTRIES // max(1, n_hot)))
-    tagged = df.join(F.broadcast(hot), df["customer_id"].eqNullSafe(hot["__hot_c"]), "left").drop("__hot_c")
-    normal = _normal_branch(tagged.filter(F.col(_N).isNull()).drop(_N))
-    split = _split_branch(tagged.filter(F.col(_N).isNotNull()), buckets).drop(_N)
-    out = normal.unionByName(split)
-    # Counted from the input scan, so the branch union is consumed once.
-    return add_hourly_velocity(out, hourly_counts(df))
+def add(df: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Add W1-W4 (and ``txn_hour``) to silver rows. ``ranges``: tasks for the histogram (default: shuffle partitions)."""
+    narrow = df.select(_ID, "customer_id", "merchant_id", "account_no", "txn_ts", "txn_amount")
+    ranks = amount_ranks(narrow, ranges)
+    nobody = narrow.filter(F.col("customer_id").isNull()).agg(F.count(F.lit(1)).alias("__nobody"))
+    same = (F.col("customer_id") == F.col("__c")) & F.col("txn_amount").eqNullSafe(F.col("__a"))
+    x = narrow.join(ranks, same, "left").crossJoin(F.broadcast(nobody))  # one row
+    n = F.coalesce("__n", "__nobody")
+    pct = F.when(F.col("__n") > 1, F.col("__less").cast("double") / (F.col("__n") - 1).cast("double"))
+    x = add_hourly_velocity(x, hourly_counts(df))
+    firsts = first_rows(narrow)
+    x = x.join(firsts, F.col(_ID) == F.col("__first_id"), "left")
+    feats = x.select(F.col(_ID).alias("__id"), n.alias("cust_txn_count"), _pct_gate(pct, n).alias("amt_pct_in_customer"),
+                     _first_gate(F.col("__first_id").isNotNull()).alias("first_seen_merchant"), "acct_txns_same_hour")
+    return (df.join(feats, F.col(_ID) == F.col("__id")).drop("__id").withColumn("txn_hour", F.hour("txn_ts")))

@@ -16,7 +16,7 @@ from ..operators import dedup, features, rules, silver, star
 from ..session import ensure_checkpoint_dir
 
 
-def scored(raw: DataFrame, hot_rows: int = features.HOT_ROWS, dedup_first: bool = False,
+def scored(raw: DataFrame, dedup_first: bool = False,
            nullish=None) -> DataFrame:
     """Silver + window features + rule flags + score.
 
@@ -26,20 +26,20 @@ def scored(raw: DataFrame, hot_rows: int = features.HOT_ROWS, dedup_first: bool
     s = silver.build(raw) if nullish is None else silver.build(raw, nullish)
     if dedup_first:
         s = dedup.keep_first(s)
-    return rules.score(features.add(s, hot_rows=hot_rows))
+    return rules.score(features.add(s))
 
 
-def build_star(raw: DataFrame, hot_rows: int = features.HOT_ROWS, materialize: bool = False,
+def build_star(raw: DataFrame, materialize: bool = False,
                dedup_first: bool = False) -> dict:
     if materialize:
         ensure_checkpoint_dir(raw.sparkSession)
         s = silver.build(raw).checkpoint(eager=True)
         if dedup_first:
             s = dedup.keep_first(s)
-        sc = rules.score(features.add(s, hot_rows=hot_rows)).checkpoint(eager=True)
+        sc = rules.score(features.add(s)).checkpoint(eager=True)
         dd = dedup.keep_first(sc).checkpoint(eager=True)
     else:
-        sc = scored(raw, hot_rows=hot_rows, dedup_first=dedup_first)
+        sc = scored(raw, dedup_first=dedup_first)
         dd = dedup.keep_first(sc)
     dims = star.dimensions(dd)
     out = dict(dims)

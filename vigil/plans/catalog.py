@@ -32,8 +32,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 class Catalog:
     """Lazily built, materialised stages for one ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, hot_rows: int = features.HOT_ROWS):
-        self.spark, self.sf_dir, self.hot_rows = spark, sf_dir, hot_rows
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self._t: dict = {}
 
     def _get(self, name, make):
@@ -54,7 +54,7 @@ class Catalog:
         return self._get("silver", lambda: silver.build(self.raw()))
 
     def scored(self) -> DataFrame:
-        return self._get("scored", lambda: rules.score(features.add(self.silver(), hot_rows=self.hot_rows)))
+        return self._get("scored", lambda: rules.score(features.add(self.silver())))
 
     def deduped(self) -> DataFrame:
         return self._get("deduped", lambda: dedup.keep_first(self.scored()))

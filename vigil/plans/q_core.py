@@ -121,7 +121,7 @@ def q_win_first_merchant(c):
     f"SELECT {ID}, cust_txn_count, round(amt_pct_in_customer, 6) AS amt_pct_in_customer, "
     f"first_seen_merchant, acct_txns_same_hour FROM enriched", "enriched"))
 def q_win_skew_split(c):
-    return (features.add(c.silver(), hot_rows=0)
+    return (features.add(c.silver())
             .select(ID, "cust_txn_count", F.round("amt_pct_in_customer", 6).alias("amt_pct_in_customer"),
                     "first_seen_merchant", "acct_txns_same_hour"))
 
