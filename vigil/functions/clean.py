@@ -92,8 +92,18 @@ def money(c, nullish=NULLISH_PARITY, precision: int = 18, scale: int = 2,
             .otherwise(body.try_cast(dt)))
 
 
+def _try_parse(c: Column, fmt: str) -> Column:
+    """``fmt`` tried only where the text holds each sign that separates its fields: most attempts that would fail are
+    never made."""
+    signs = sorted({ch for ch in fmt.replace("'T'", "\0") if not ch.isalpha()})
+    fits = F.lit(True)
+    for ch in signs:
+        fits = fits & c.contains(F.lit("T" if ch == "\0" else ch))
+    return F.when(fits, F.try_to_timestamp(c, F.lit(fmt)))
+
+
 def _first_parse(c: Column, formats) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[_try_parse(c, f) for f in formats])
 
 
 def date_multi(c, nullish=NULLISH_PARITY, formats=DATE_FORMATS, key: Column | None = None,
@@ -104,7 +114,7 @@ def date_multi(c, nullish=NULLISH_PARITY, formats=DATE_FORMATS, key: Column | No
     k = raw_key(c) if key is None else key
     tries = []
     for f in formats:
-        d = F.try_to_timestamp(sq, F.lit(f)).cast("date")
+        d = _try_parse(sq, f).cast("date")
         if "yy" in f and "yyyy" not in f:
             d = F.when(F.year(d) >= CENTURY_PIVOT_YEAR, F.add_months(d, -1200)).otherwise(d)
         tries.append(d)
@@ -121,7 +131,7 @@ def timestamp_multi(c, nullish=NULLISH_PARITY, formats=TS_FORMATS, key: Column |
     sq = squeeze(c, key) if sq is None else sq
     k = raw_key(c) if key is None else key
     epoch = F.timestamp_seconds(F.trim(_c(c)).try_cast("bigint"))
-    iso = F.try_to_timestamp(F.substring(sq, 1, 19), F.lit(TS_ISO_PREFIX))
+    iso = _try_parse(F.substring(sq, 1, 19), TS_ISO_PREFIX)
     return (F.when(is_nullish(c, nullish, k), F.lit(None).cast("timestamp"))
             .when(k.rlike(EPOCH_PATTERN), epoch)
             .otherwise(F.coalesce(_first_parse(sq, formats), iso)))

@@ -24,12 +24,6 @@ ALERT_THRESHOLD = 60
 THRESHOLDS = (10, 20, 30, 40, 50, 60, 70, 80, 90)
 ANALYST_ALERTS_PER_YEAR = 50000
 DATA_SPAN_YEARS = 2.5
-# Simulated outcome: draw in [0,1) from the key; p rises with the cube of score.
-LABEL_MULTIPLIER = 2654435761
-LABEL_MODULUS = 1000000
-P_BASE = 0.00012
-P_SCALE = 0.055
-P_SCORE_NORM = 130.0
 DISCRIMINATION_MIN_GROUP = 1000
 
 
@@ -174,26 +168,13 @@ def cofiring(fact_txn: DataFrame) -> DataFrame:
     return fact_txn.groupBy("rules_fired", "risk_band").agg(F.count(F.lit(1)).alias("n"))
 
 
-def simulated_label(fact_txn: DataFrame) -> DataFrame:
-    """SIMULATED outcome label (not real fraud): a deterministic draw in
-    [0,1) from the row key; probability rises with the cube of the score.
-    Modular arithmetic keeps every intermediate below 1e12 (no overflow)."""
-    m = LABEL_MODULUS
-    draw = (F.pmod(F.pmod(F.col("_mirror_row_id"), F.lit(m)) * F.lit(LABEL_MULTIPLIER % m), F.lit(m))
-            .cast("double") / F.lit(float(m)))
-    x = F.col("risk_score").cast("double") / F.lit(P_SCORE_NORM)
-    p = F.lit(P_BASE) + F.lit(P_SCALE) * (x * x * x)
-    return fact_txn.select("_mirror_row_id", "risk_score", draw.alias("draw"), p.alias("p_fraud"),
-                           (draw < p).alias("is_fraud"), F.lit(True).alias("simulated"))
-
-
-def threshold_tradeoff(labelled: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
-    """Alerts, precision, recall, FP rate and analyst cost per threshold.
+def threshold_tradeoff(labelled: DataFrame, label: str, thresholds=THRESHOLDS) -> DataFrame:
+    """G11, for any boolean outcome column ``label`` (NULL is false): alerts, precision, recall, FP rate and analyst cost per threshold.
 
     One pass: histogram by (score, label), at most 2 x (max score + 1)
     rows, crossed with the nine thresholds."""
     hist = labelled.groupBy("risk_score").agg(F.count(F.lit(1)).alias("n"),
-                                              F.count_if("is_fraud").alias("f"))
+                                              F.count_if(F.col(label)).alias("f"))
     spark = labelled.sparkSession
     thr = spark.createDataFrame([(t,) for t in thresholds], "thr int")
     j = hist.crossJoin(F.broadcast(thr))

@@ -45,7 +45,7 @@ RULES = [
 
 # Retired rules: available, not in the score (no weight was ever set: 0).
 RETIRED = [
-    Rule("R01", "cross_border", 0, lambda: ~F.col("txn_currency").eqNullSafe(F.col("account_currency"))),
+    Rule("R01", "cross_border", 0, lambda: F.col("txn_currency") != F.col("account_currency")),
     Rule("R08", "round_amount", 0, lambda: (F.col("txn_amount") % 100 == 0) & (F.col("txn_amount") != 0)),
 ]
 

@@ -9,12 +9,10 @@ column pruning and filter pushdown. Nothing goes through the driver.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dedup, features, rules, silver, star
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources import fixtures
 
 _CACHE: dict = {}
@@ -23,8 +21,7 @@ _CACHE: dict = {}
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet in the shared checkpoint folder; read it back."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/vigil-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

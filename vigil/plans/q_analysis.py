@@ -124,22 +124,8 @@ def q_cofiring(c):
     return A.cofiring(c.table("fact_transaction"))
 
 
-_M = A.LABEL_MODULUS
-_LABEL_CTE = f"""
-SELECT _mirror_row_id, risk_score, draw, p_fraud, draw < p_fraud AS is_fraud, TRUE AS simulated FROM (
-  SELECT _mirror_row_id, risk_score,
-    CAST((((_mirror_row_id % {_M}) * {A.LABEL_MULTIPLIER % _M}) % {_M}) AS DOUBLE) / {float(_M)} AS draw,
-    {A.P_BASE} + {A.P_SCALE} * ((CAST(risk_score AS DOUBLE) / {A.P_SCORE_NORM})
-      * (CAST(risk_score AS DOUBLE) / {A.P_SCORE_NORM}) * (CAST(risk_score AS DOUBLE) / {A.P_SCORE_NORM})) AS p_fraud
-  FROM fact_transaction)"""
-O.extra("labelled", ["fact_transaction"], _LABEL_CTE)
-
-
-@register("simulated_label", O.sql(
-    "SELECT CAST(_mirror_row_id AS BIGINT) AS _mirror_row_id, CAST(risk_score AS BIGINT) AS risk_score, "
-    "draw, p_fraud, is_fraud, simulated FROM labelled", "labelled"))
-def q_simulated_label(c):
-    return A.simulated_label(c.table("fact_transaction"))
+# The outcome that the table itself gives: the issuer declined.
+O.extra("labelled", ["fact_transaction"], "SELECT risk_score, coalesce(NOT auth_approved, FALSE) AS is_fraud FROM fact_transaction")
 
 
 _THR = ", ".join(f"({t})" for t in A.THRESHOLDS)
@@ -159,4 +145,4 @@ SELECT CAST(thr AS BIGINT) AS thr, alerts, round(100.0 * CAST(alerts AS DOUBLE)
            count(*) FILTER (WHERE risk_score < t.thr AND is_fraud) AS fn
     FROM labelled, (VALUES {_THR}) AS t(thr) GROUP BY t.thr))""", "labelled"))
 def q_threshold_tradeoff(c):
-    return A.threshold_tradeoff(A.simulated_label(c.table("fact_transaction")))
+    return A.threshold_tradeoff(c.table("fact_transaction").withColumn("declined", ~F.col("auth_approved")), "declined")

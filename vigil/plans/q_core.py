@@ -151,19 +151,38 @@ def q_dedup(c):
 _DIM_COLS = {
     "dim_date": ["date_key", "full_date", "yr", "qtr", "mth", "month_name", "day_of_month",
                  "day_of_week", "day_name", "is_weekend"],
-    "dim_time": ["time_key", "hour_of_day", "hour_label", "day_part", "is_odd_hour"],
     "dim_customer": ["customer_key", "customer_id", *star.CUSTOMER_ATTRS, "kyc_rank", "ever_pep",
                      "ever_sanctioned", "risk_rank", "txn_count"],
     "dim_merchant": ["merchant_key", "merchant_id", "merchant_name", "merchant_mcc", "merchant_country",
                      "txn_count", "is_high_risk_mcc"],
     "dim_channel": ["channel_key", "channel", "entry_mode", "is_card_not_present"],
     "dim_card": ["card_key", "card_bin", "card_brand"],
-    "dim_risk_rule": ["rule_id", "rule_name", "weight"],
 }
 
 for _name, _cols in _DIM_COLS.items():
     register(_name, select_from(_name, _cols))(lambda c, _n=_name, _cs=_cols: c.table(_n).select(*_cs))
 
+_TIME = ["time_key", "hour_of_day", "hour_label", "day_part", "is_odd_hour"]
+
+
+@register("dim_time", O.sql(f"""
+SELECT {', '.join('t.' + x for x in _TIME)}, count(f._mirror_row_id) AS transactions
+FROM dim_time t LEFT JOIN fact_transaction f ON f.time_key = t.time_key GROUP BY ALL""", "dim_time", "fact_transaction"))
+def q_dim_time(c):
+    """The hours with their transactions."""
+    n = c.table("fact_transaction").groupBy("time_key").agg(F.count(F.lit(1)).alias("transactions"))
+    return c.table("dim_time").join(n, "time_key", "left").select(*_TIME, F.coalesce("transactions", F.lit(0)).alias("transactions"))
+
+
+@register("dim_risk_rule", O.sql("""
+SELECT r.rule_id, r.rule_name, CAST(r.weight AS BIGINT) AS weight, count(a.rule_id) AS firings
+FROM dim_risk_rule r LEFT JOIN fact_alert a ON a.rule_id = r.rule_id GROUP BY ALL""", "dim_risk_rule", "fact_alert"))
+def q_dim_risk_rule(c):
+    """The rules with their firings."""
+    n = c.table("fact_alert").groupBy("rule_id").agg(F.count(F.lit(1)).alias("firings"))
+    return c.table("dim_risk_rule").join(n, "rule_id", "left").select("rule_id", "rule_name", "weight", F.coalesce("firings", F.lit(0)).alias("firings"))
+
+
 register("fact_transaction", select_from("fact_transaction", star.FACT_COLUMNS))(
     lambda c: c.table("fact_transaction"))
 register("fact_alert", select_from("fact_alert", [ID, "rule_id", "weight"]))(

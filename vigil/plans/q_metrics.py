@@ -168,7 +168,7 @@ SELECT round(100.0 * CAST(count(*) FILTER (WHERE is_card_not_present) AS DOUBLE)
 FROM ft_x""", "ft_x"))
 def q_risk_kpis(c):
     f = c.table(FT)
-    ch = F.broadcast(c.table("dim_channel").select("channel_key", "is_card_not_present"))
+    ch = c.table("dim_channel").select("channel_key", "is_card_not_present")  # entry mode is free text: AQE decides
     tm = F.broadcast(c.table("dim_time").select("time_key", "is_odd_hour"))  # 25 rows
     x = f.join(ch, "channel_key", "left").join(tm, "time_key", "left")
     p = lambda a, b: F.round(F.lit(100.0) * a.cast("double") / b.cast("double"), 6)

@@ -51,7 +51,7 @@ def q_stream_rules(c):
 @register("stream_velocity", O.sql("""
 SELECT account_no, strftime(date_trunc('hour', txn_ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        count(*) AS acct_txns_same_hour, count(*) >= 2 AS velocity
-FROM silver WHERE txn_ts IS NOT NULL GROUP BY 1, 2""", "silver"))
+FROM silver GROUP BY 1, 2""", "silver"))
 def q_stream_velocity(c):
     """Per account and clock hour on a stream (watermarked state). The
     complete output mode is used here so every window is final after one
@@ -63,9 +63,19 @@ def q_stream_velocity(c):
     out = _run(c, "stream-velocity", build, mode="complete")
     # complete mode rewrites all windows each batch: keep the last batch
     last = out.agg(F.max("batch").alias("__b"))
-    return (out.join(F.broadcast(last), out["batch"] == last["__b"])  # one row
-            .select("account_no", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    "acct_txns_same_hour", "velocity"))
+    timed = (out.join(F.broadcast(last), out["batch"] == last["__b"])  # one row
+             .select("account_no", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                     "acct_txns_same_hour", "velocity"))
+    # Rows without an event time have no window: they go to a side output and form a group for each account.
+    side = _untimed(c, "velocity").groupBy("account_no").agg(F.count(F.lit(1)).alias("acct_txns_same_hour"))
+    return timed.unionByName(side.select("account_no", F.lit(None).cast("string").alias("window_start"), "acct_txns_same_hour",
+                                         (F.col("acct_txns_same_hour") >= 2).alias("velocity")))
+
+
+def _untimed(c, name):
+    """The side output of a stream: silver rows whose event time is NULL."""
+    from ..operators import silver
+    return _run(c, f"untimed-{name}", lambda s: silver.build(s).filter(F.col("txn_ts").isNull()))
 
 
 DEDUP_KEYS = ["txn_id", "txn_amount", "merchant_name", "txn_ts"]
@@ -73,7 +83,7 @@ DEDUP_KEYS = ["txn_id", "txn_amount", "merchant_name", "txn_ts"]
 
 @register("stream_dedup", O.sql(
     "SELECT DISTINCT txn_id, CAST(txn_amount AS DOUBLE) AS txn_amount, merchant_name, "
-    "strftime(txn_ts, '%Y-%m-%d %H:%M:%S') AS txn_ts FROM silver WHERE txn_ts IS NOT NULL", "silver"))
+    "strftime(txn_ts, '%Y-%m-%d %H:%M:%S') AS txn_ts FROM silver", "silver"))
 def q_stream_dedup(c):
     """Exact duplicates dropped on a stream (state kept for the
     watermark). The fixture's files arrive in random event-time order over
@@ -83,4 +93,4 @@ def q_stream_dedup(c):
         from ..operators import silver
         sv = silver.build(s).filter(F.col("txn_ts").isNotNull())
         return stream.stream_dedup(sv, watermark="400 days", keys=DEDUP_KEYS).select(*DEDUP_KEYS)
-    return _run(c, "stream-dedup", build).select(*DEDUP_KEYS)
+    return _run(c, "stream-dedup", build).select(*DEDUP_KEYS).unionByName(_untimed(c, "dedup").select(*DEDUP_KEYS).distinct())

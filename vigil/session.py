@@ -11,8 +11,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,18 +68,27 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``. Only a local session may do without: it gets a folder of its own,
+    which goes when the process ends. Anywhere else each executor would write to its own disk, so that is an error."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="vigil-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table, under the shared checkpoint folder
-    so that it survives the loss of any one executor."""
+    """A new path for an intermediate table, under the shared checkpoint folder so that it survives the loss of any
+    one executor. ``drop_scratch`` deletes all of them."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{os.getpid()}"
+    return f"{base}/vigil-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables: for the end of a job, when its results have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigil-tables")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

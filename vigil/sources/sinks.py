@@ -70,22 +70,40 @@ def layout_evidence(spark, table: str) -> DataFrame:
     return spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key").startswith("vigil."))
 
 
-def publish(df: DataFrame, path: str, key_columns: list[str]) -> None:
-    """Arm last: write the data (the committer adds ``_SUCCESS`` only when every
-    task committed), then the key-column metadata. Readers require both;
-    nothing is armed if the data write failed (it raises first)."""
+def _fs(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark, path: str) -> list[int]:
+    """Published versions, oldest first: the names of the pointer files."""
+    fs, p = _fs(spark, f"{path}/_published")
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def publish(df: DataFrame, path: str, key_columns: list[str]) -> int:
+    """Write a new version beside the old ones, then arm it by creating its pointer, which holds the key columns.
+    A write that fails leaves the last version as it was. Returns the version."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}/data")
-    meta = spark.createDataFrame([(json.dumps({"keyColumns": key_columns}),)], "value string")
-    meta.coalesce(1).write.mode("overwrite").text(f"{path}/_metadata")
+    version = (_versions(spark, path) or [-1])[-1] + 1
+    data = f"{path}/version={version:020d}"
+    df.write.mode("overwrite").parquet(data)  # only an unarmed rest of a failed write can be there
+    fs, done = _fs(spark, f"{data}/_SUCCESS")
+    if not fs.exists(done):
+        raise RuntimeError(f"{data} was not committed")
+    fs, pointer = _fs(spark, f"{path}/_published/{version:020d}")
+    out = fs.create(pointer, False)
+    out.write(bytearray(json.dumps({"keyColumns": key_columns}).encode()))
+    out.close()
+    return version
 
 
 def read_published(spark, path: str) -> DataFrame:
-    """Read a published table only when both the data and its metadata exist."""
-    meta = spark.read.text(f"{path}/_metadata")
-    if meta.limit(1).count() == 0:
+    """The last armed version."""
+    versions = _versions(spark, path)
+    if not versions:
         raise RuntimeError(f"{path} is not armed")
-    return spark.read.parquet(f"{path}/data")
+    return spark.read.parquet(f"{path}/version={versions[-1]:020d}")
 
 
 def write_evidence(metrics: DataFrame, path: str) -> None:

@@ -26,11 +26,13 @@ def all_text_schema(columns: list[str], key: str | None = "_mirror_row_id") -> T
 
 
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str],
-                 key: str | None = "_mirror_row_id") -> DataFrame:
+                 key: str | None = "_mirror_row_id", multi_line: bool = False) -> DataFrame:
     """CSV with a header, all text, '"' quote and escape. An unquoted empty
-    field reads as NULL and a quoted empty field as '' -- the two stay apart."""
+    field reads as NULL and a quoted empty field as '' -- the two stay apart.
+    ``multi_line`` reads quoted line ends as part of the value; such a file is
+    read by one task, so large exports should come as many files."""
     return (spark.read.schema(all_text_schema(columns, key))
-            .option("header", True).option("quote", '"').option("escape", '"')
+            .option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
             .option("emptyValue", "").option("nullValue", "\u0000")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("mode", "PERMISSIVE").csv(path))
