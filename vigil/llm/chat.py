@@ -146,16 +146,14 @@ def _lengths(turns, encode) -> list[int]:
 def _summaries(batches: Iterator[pd.DataFrame], encode) -> Iterator[pd.DataFrame]:
     """One row for a partition: its first path, and the path and tree that it leaves behind if nothing came before it."""
     part = first = last = None
-    ends: list[tuple[bytes, list[int], int]] = []
     forest = _Forest()
-    grown = 0  # characters that the first tree got after the first entry
     whole = True  # still in the tree of the first entry
     for batch in batches:
         for r in batch.itertuples(index=False):
             lengths = _lengths(r.turns, encode)
             if first is None:
                 part, first = r.part, (r.path, lengths)
-            k, start, _ = forest.add(r.path, lengths)
+            k, _, _ = forest.add(r.path, lengths)
             whole = whole and (k > 0 or r.path is first[0])
             last = r.path
     if first is not None:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import vigil
-from vigil.session import ensure_checkpoint_dir
+from vigil.session import scratch_path
 
 #: Largest side that an explicit broadcast may have, in bytes as estimated by its caller.
 BROADCAST_BYTES = 32 << 20
@@ -37,7 +36,7 @@ def ship(spark: SparkSession) -> None:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the cluster's checkpoint folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

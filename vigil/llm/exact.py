@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, prefix_hash, runs, span_hash, text_bytes
+from .common import SPACE, materialize, prefix_hash, span_hash, text_bytes
 
 #: Least, mean (a power of two above the least) and greatest bytes of a chunk; bytes that decide a cut.
 LEAST, MEAN, MOST, LOOK = 1024, 4096, 16384, 48

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, prefix_hash, runs, span_hash, text_bytes
+from .common import SPACE, prefix_hash, span_hash, text_bytes
 
 BUCKETS, DIM, REACH, SAMPLE, HIDDEN = 1 << 14, 32, 2, 20_000, 32
 FOLDS, SEED = 5, 17
