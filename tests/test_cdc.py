@@ -2,7 +2,6 @@
 import datetime as dt
 
 import pyspark.sql.types as T
-from pyspark.sql import functions as F
 
 from vigil.streaming import cdc, stream
 
