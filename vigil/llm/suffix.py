@@ -31,7 +31,7 @@ from .common import inverse_powers, materialize, mix, prefix_hash, runs, text_by
 
 LENGTH, GRAM = 400, 128
 #: Bytes of different texts that one key may bring to a shard, and that a shard should hold.
-KEY_BYTES, SHARD_BYTES = 1 << 20, 2 << 20
+KEY_BYTES, SHARD_BYTES = 4 << 20, 2 << 20
 
 
 # --- suffix arrays by induced sorting ---------------------------------------------------------------
@@ -54,7 +54,7 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray
     k, n = len(sizes), len(t)
     ends = np.cumsum(sizes)
     heads = ends - sizes
-    sa = np.full(n, -1, dtype=np.int64)
+    sa = np.full(n, -1, dtype=np.int32)
     large = ~small
     by = t[lms]
     order = np.argsort(by, kind="stable")
@@ -175,11 +175,11 @@ def shared_starts(text: np.ndarray, sa: np.ndarray, left: np.ndarray, length: in
     with the one before or after it in the array. Permuted common prefixes: in text order, each is at least the one
     before it less one."""
     n = len(sa)
-    before = np.empty(n, dtype=np.int64)
+    before = np.empty(n, dtype=np.int32)
     before[sa[0]] = -1
     before[sa[1:]] = sa[:-1]
     # Only runs where place and predecessor both step by one extend one another; compare a whole run at once.
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     gap = np.where(before >= 0, place - before, n + 1)
     starts = np.flatnonzero(np.diff(gap, prepend=gap[0] - 1) != 0)
     run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
@@ -214,14 +214,14 @@ def repeated(texts: list[bytes], length: int) -> list[np.ndarray]:
         return []
     sizes = np.array([len(x) for x in texts])
     # Bytes become 2.., each text ends with a 1, all ends with the only 0.
-    t = np.ones(sizes.sum() + len(texts) + 1, dtype=np.int64)
-    left = np.zeros(len(t), dtype=np.int64)
+    t = np.ones(sizes.sum() + len(texts) + 1, dtype=np.int32)
+    left = np.zeros(len(t), dtype=np.int32)
     at = np.concatenate(([0], np.cumsum(sizes + 1)))
     for x, a in zip(texts, at[:-1], strict=True):
-        t[a: a + len(x)] = np.frombuffer(x, np.uint8).astype(np.int64) + 2
+        t[a: a + len(x)] = np.frombuffer(x, np.uint8).astype(np.int32) + 2
         left[a: a + len(x)] = np.arange(len(x), 0, -1)
     t[-1] = 0
-    dense = np.zeros(258, dtype=np.int64)
+    dense = np.zeros(258, dtype=np.int32)
     met = np.unique(t)
     dense[met] = np.arange(len(met))
     good = shared_starts(t, suffix_array(dense[t]), left, length)
