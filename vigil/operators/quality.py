@@ -239,6 +239,22 @@ def probe_key(silver: DataFrame, key: str = "txn_id", order_key: str = "_mirror_
     return single.agg(F.min(order_key).alias(order_key))
 
 
+def ranked(small: DataFrame, by: str, name: str) -> DataFrame:
+    """A small result (a row for each column, rule, ...) with ``place`` by ``by`` descending, ``n`` and the ``mean``."""
+    every = Window.partitionBy()
+    return (small.withColumn("place", F.row_number().over(Window.orderBy(F.col(by).desc(), F.col(name).asc())))
+            .withColumn("n", F.count(F.lit(1)).over(every)).withColumn("mean", F.avg(by).over(every)))
+
+
+def trust(silver: DataFrame, by: str, present: dict[str, str], key: str) -> DataFrame:
+    """For each value of ``by`` the rows, the share with a value in some columns, and the rows beyond the first of
+    a business key."""
+    shares = [F.round(_pct(F.sum(f"__p_{n}"), F.sum("__c")), 6).alias(n) for n in present]
+    per = silver.groupBy(by, key).agg(F.count(F.lit(1)).alias("__c"), *[F.count(c).alias(f"__p_{n}") for n, c in present.items()])
+    surplus = F.sum(F.when(F.col(key).isNotNull(), F.col("__c") - 1).otherwise(0)).alias("surplus_rows")
+    return per.groupBy(by).agg(F.sum("__c").alias("rows"), *shares, surplus)
+
+
 def run_checks(spark, checks: list[tuple[str, str, Callable[[], bool]]]) -> DataFrame:
     """Run each check in isolation; PASS / FAIL / SKIP; an exception is
     a FAIL with its message. Each check returns True/False/None(skip)."""

@@ -23,16 +23,23 @@ def load_files(spark: SparkSession, source_dir: str, target_dir: str, checkpoint
         r = r.option(k, v)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = r.load(source_dir).withColumn("_source_file", F.col("_metadata.file_name"))
+    src = r.load(source_dir).withColumn("_source_file", F.col("_metadata.file_path"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        (batch.withColumn("_batch_id", F.lit(batch_id).cast("long")).withColumn("_loaded_at", F.current_timestamp())
          .write.mode("overwrite").parquet(f"{target_dir}/batch={batch_id:020d}"))
 
     return (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def load_log(spark: SparkSession, target_dir: str, key: str = "_mirror_row_id") -> DataFrame:
+    """What was loaded: for each file its rows, the sum of its keys, the batch and the time."""
+    t = spark.read.parquet(target_dir)
+    return t.groupBy(F.col("_source_file").alias("file"), "_batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(key).alias("keys"), F.max("_loaded_at").alias("loaded_at"))
+
+
 def csv_options() -> dict:
     """CSV options that keep NULL and '' apart (see tables.read_raw_csv)."""
     return {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000",
