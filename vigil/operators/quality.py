@@ -255,6 +255,13 @@ def trust(silver: DataFrame, by: str, present: dict[str, str], key: str) -> Data
     return per.groupBy(by).agg(F.sum("__c").alias("rows"), *shares, surplus)
 
 
+def probe_rows(df: DataFrame, n: int = 2, key: str = "txn_id", order_key: str = "_mirror_row_id") -> DataFrame:
+    """the first ``n`` rows whose business id is there once (a top-n, as a probe needs only a few)."""
+    single = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min(order_key).alias(order_key)).filter("c = 1")
+    first = single.orderBy(order_key).limit(n).select(order_key)
+    return df.join(F.broadcast(first), order_key, "left_semi")  # n rows
+
+
 def run_checks(spark, checks: list[tuple[str, str, Callable[[], bool]]]) -> DataFrame:
     """Run each check in isolation; PASS / FAIL / SKIP; an exception is
     a FAIL with its message. Each check returns True/False/None(skip)."""

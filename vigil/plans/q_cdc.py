@@ -155,3 +155,15 @@ def q_cdc_stream(c):
                               "public", "orders")
         q.awaitTermination()
     return stream.current(spark, c.source("orders").select(*COLS), f"{base}/mirror", target, KEY)
+
+
+_ROW = ", ".join(COLS[1:])
+
+
+@register("cdc_verify", O.sql(f"""
+SELECT CASE WHEN a.k IS NULL THEN 'inserted' WHEN b.k IS NULL THEN 'deleted' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'same' ELSE 'changed' END AS status, count(*) AS rows
+FROM (SELECT o_orderkey AS k, row({_ROW}) AS v FROM orders) a FULL JOIN (SELECT o_orderkey AS k, row({_ROW}) AS v FROM cdc_final) b ON a.k = b.k GROUP BY 1""", "cdc_final"))
+def q_cdc_verify(c):
+    """What the change feed did to the mirror, by key."""
+    before = c.source("orders").select(*COLS)
+    return cdc.verify(before, cdc.current_view(before, _typed(c).drop("op"), KEY), KEY)

@@ -107,3 +107,10 @@ def q_load_log(c):
     log = ingest.load_log(c.spark, f"{base}/table")
     return log.groupBy(F.regexp_extract("file", "part=([0-9])", 1).cast("long").alias("part")).agg(
         F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.min(F.col("loaded_at").isNotNull()).alias("timed"))
+
+
+@register("probe_rows", O.sql(f"""
+SELECT {ID}, txn_id FROM silver WHERE txn_id IN (SELECT txn_id FROM silver GROUP BY txn_id HAVING count(*) = 1) ORDER BY {ID} LIMIT 2""", "silver"))
+def q_probe_rows(c):
+    """rows to follow through a change feed."""
+    return Q.probe_rows(c.silver()).select(ID, "txn_id")

@@ -262,6 +262,16 @@ def batch_stats(changes: DataFrame) -> DataFrame:
                        F.count_if(m == "2").alias("deletes"), F.count_if(m == "4").alias("upserts"))
 
 
+def verify(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Acceptance of a run: rows by what became of their key (inserted, deleted, changed or same)."""
+    cols = [c for c in before.columns if c != key]
+    a = before.select(F.col(key).alias("__a"), F.struct(*cols).alias("__x"))
+    b = after.select(F.col(key).alias("__b"), F.struct(*cols).alias("__y"))
+    status = (F.when(F.col("__a").isNull(), "inserted").when(F.col("__b").isNull(), "deleted")
+              .when(F.col("__x").eqNullSafe(F.col("__y")), "same").otherwise("changed"))
+    return a.join(b, F.col("__a") == F.col("__b"), "full_outer").groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def history(feed: DataFrame, ts_col: str, retain_days: int = 7) -> DataFrame:
     """Change feed kept for ``retain_days`` before the newest change."""
     newest = feed.agg(F.max(ts_col).alias("__newest"))
