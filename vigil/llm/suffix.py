@@ -105,22 +105,24 @@ def _induce_plain(t: list[int], small: list[bool], lms: list[int], sizes: np.nda
     n = len(t)
     ends = np.cumsum(sizes).tolist()
     heads = [e - s for e, s in zip(ends, sizes.tolist(), strict=True)]
-    sa, tail = [-1] * n, ends[:]
+    # Empty places hold 0, which has no predecessor; index -1 is the last sign, of neither kind here.
+    sa, tail = [0] * n, ends[:]
     for p in reversed(lms):
-        tail[t[p]] -= 1
-        sa[tail[t[p]]] = p
-    fill = heads[:]
-    for i in range(n):
-        p = sa[i] - 1
-        if p >= 0 and not small[p]:
-            sa[fill[t[p]]] = p
-            fill[t[p]] += 1
-    tail = ends[:]
-    for i in range(n - 1, -1, -1):
-        p = sa[i] - 1
-        if p >= 0 and small[p]:
-            tail[t[p]] -= 1
-            sa[tail[t[p]]] = p
+        c = t[p]
+        tail[c] -= 1
+        sa[tail[c]] = p
+    large = [not x for x in small]
+    for x in sa:  # sees what it puts further on
+        if large[x - 1]:
+            c = t[x - 1]
+            sa[heads[c]] = x - 1
+            heads[c] += 1
+    tail, inner = ends, small[:-1] + [False]
+    for x in reversed(sa):
+        if inner[x - 1]:
+            c = t[x - 1]
+            tail[c] -= 1
+            sa[tail[c]] = x - 1
     sa[0] = n - 1
     return np.array(sa, dtype=np.int64)
 
@@ -189,7 +191,7 @@ def shared_starts(text: np.ndarray, sa: np.ndarray, left: np.ndarray, length: in
     size = np.diff(np.append(starts, n))
     most = np.minimum(size + length, np.minimum(n - first, n - np.maximum(prior, 0)))
     live, k = np.flatnonzero(prior >= 0), np.zeros(len(starts), dtype=np.int64)
-    block = 64
+    block = 16
     padded = np.concatenate((text, np.arange(block) - 1 - block))
     while len(live):
         a, b = first[live] + k[live], prior[live] + k[live]
