@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ROW_TOKENS, SHARD_BYTES = 2048, 8 << 20
+#: Words whose ids a Python worker remembers, across tasks: some 40 MB.
+WORDS_KEPT = 200_000
 
 
 class Tokenizer:
@@ -53,7 +55,7 @@ class Tokenizer:
                     return self._plain(text)
                 ids = words[w] = self._plain(" " + w)
             out.append(ids)
-        if len(words) > 1_000_000:
+        if len(words) > WORDS_KEPT:  # forgetting only encodes a word again
             words.clear()
         return self._plain(first) + b"".join(out)
 
