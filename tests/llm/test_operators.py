@@ -190,6 +190,20 @@ def test_remove_repeats_odd(spark, odd_docs, no_docs):
     assert suffix.remove_repeats(no_docs).count() == 0
 
 
+def test_repeated_with_rare_signs():
+    def brute(texts, k):
+        n = Counter(x[i:i + k] for x in texts for i in range(len(x) - k + 1))
+        return [[i for i in range(len(x) - k + 1) if n[x[i:i + k]] > 1] for x in texts]
+    assert [x.tolist() for x in suffix.repeated([b"yabc", b"xabc"], 3)] == [[1], [1]]
+    rng = random.Random(14)
+    for _ in range(400):
+        parts = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 9))) for _ in range(3)]
+        rare = iter(rng.sample(range(256), 60) * 2)  # signs that occur once or twice
+        texts = [b"".join(bytes([next(rare)]) * rng.randint(0, 1) + rng.choice(parts) for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(1, 6))]
+        k = rng.randint(1, 8)
+        assert [x.tolist() for x in suffix.repeated(texts, k)] == brute(texts, k)
+
+
 # --- secrets ---
 
 def test_secrets_finds_random_strings(spark, odd_docs, no_docs):

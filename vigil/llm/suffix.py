@@ -180,10 +180,13 @@ def shared_starts(text: np.ndarray, sa: np.ndarray, left: np.ndarray, length: in
     before = np.empty(n, dtype=np.int32)
     before[sa[0]] = -1
     before[sa[1:]] = sa[:-1]
-    # Only runs where place and predecessor both step by one extend one another; compare a whole run at once.
+    # Only runs where place and predecessor both step by one, and have a sign in common, extend one another; compare a
+    # whole run at once. Behind a place whose sign is not its predecessor's nothing is known: a new run.
     place = np.arange(n, dtype=np.int32)
     gap = np.where(before >= 0, place - before, n + 1)
-    starts = np.flatnonzero(np.diff(gap, prepend=gap[0] - 1) != 0)
+    fresh = np.diff(gap, prepend=gap[0] - 1) != 0
+    fresh[1:] |= text[:-1] != text[before[:-1]]
+    starts = np.flatnonzero(fresh)
     run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
     first, prior = starts, before[starts]
     # Common length of each run's first place; others of the run have one less each. It is enough to know up to
