@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import decontaminate, mixing, ngram_join, packing, quality
-from vigil.llm.common import documents, materialize, ship
+from vigil.llm.common import documents, materialize, ship, text_key
 
 #: A document stays if label 1 is at least so likely.
 LEAST_QUALITY = 0.3
@@ -36,8 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc").alias("found_id"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"]), "left_anti")
+    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc").alias("found_id"), F.col("sum").alias("found_sum"))
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"]) & (text_key(docs["text"]) == found["found_sum"]), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -259,6 +259,21 @@ def test_decontaminate_matches_without_broadcast(spark, odd_docs, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
 
 
+def test_decontaminate_rows_that_share_an_id(spark, tmp_path):
+    import corpus_pipeline
+    from vigil.llm.queries import QUERIES
+    a, b = (" ".join(f"{c}{i}" for i in range(10)) for c in "ab")
+    rows = [(None, "x " + a), (None, "clean one"), (None, "clean two"), (None, None), (1, b + " y z"), (1, "x " + a), (1, "clean"), (1, "x " + a), (2, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, a), (2, b)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = QUERIES["op9_decontaminate"](spark, str(tmp_path)).collect()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(i, len((t or "").split()), 10 * h, h, sha("1" if a in (t or "") else "2" if h else "")) for i, t in rows for h in [int(a in (t or "") or b in (t or ""))]]
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256)) for r in got)
+    left = corpus_pipeline.without_benchmarks(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()
+    assert sorted(map(str, left)) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in rows if a not in (t or "") and b not in (t or ""))
+
+
 # --- classifiers ---
 
 def _labelled(spark, words):

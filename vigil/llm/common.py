@@ -54,6 +54,11 @@ def bounded_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that tell rows of one id, or without an id, apart by their text; null is empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case and nothing else; plain ASCII texts take the cheap function."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -11,8 +11,9 @@ An item shorter than a window is one window of its own length, looked up by the
 The benchmark side is broadcast when its counted size is under the bound and shuffled otherwise; document rows
 carry only the words around their fingerprint.
 
-Defined results: null or wordless texts have no words and no hits; repeated rows and ties count each row alone;
-an empty benchmark gives no hits. Own columns are prefixed, columns of the input are not looked at.
+Defined results: null or wordless texts have no words and no hits; a row is known by its id and its text's digest, so
+rows of one id or without an id that have other texts count alone, and repeated rows have the same hits; an empty
+benchmark gives no hits. Own columns are prefixed, columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded_broadcast, materialize
+from .common import ascii_lower, bounded_broadcast, materialize, text_key
 
 #: What separates words, once A-Z are in lower case.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,41 +65,42 @@ def benchmark_windows(bench: DataFrame, id_col: str, text_col: str) -> tuple[Dat
 
 
 def hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(doc, window_id, start, n)``: every occurrence of a benchmark window in a document; and the windows' items."""
+    """``(doc, sum, window_id, start, n)``: every occurrence of a benchmark window in a document; and the windows' items."""
     windows, items = benchmark_windows(bench, item_col, item_text_col)
     windows, items = materialize(windows, "bench_windows"), materialize(items, "bench_items")
     sizes = {r["n"]: (r["k"], r["b"]) for r in windows.groupBy("n").agg(F.count("*").alias("k"), F.sum(F.octet_length(F.concat_ws(" ", "words"))).alias("b")).collect()}  # at most WINDOW rows
-    base = docs.select(F.col(id_col).alias("doc"), words(F.col(text_col)).alias("w"))
+    base = docs.select(F.col(id_col).alias("doc"), text_key(F.col(text_col)).alias("sum"), words(F.col(text_col)).alias("w"))
     found = []
     for n, (rows, octets) in sorted(sizes.items()):
         side = bounded_broadcast(windows.where(F.col("n") == n), rows, 200 + octets // max(rows, 1))
         if n == WINDOW:  # a row for each run of windows that keep the same gram
             at = kept_grams(base).withColumn("c", F.filter(F.sequence(F.lit(0), F.greatest(F.size("m") - 1, F.lit(0))), lambda i: (i == 0) | (F.get("m", i) != F.get("m", i - 1))))
-            at = at.select("doc", "w", "m", "c", F.posexplode_outer("c").alias("k", "first"))
-            at = at.select("doc", "w", "first", (F.coalesce(F.get("c", F.col("k") + 1), F.size("m")) - F.col("first")).alias("run"), F.get("m", F.col("first")).alias("h"))
+            at = at.select("doc", "sum", "w", "m", "c", F.posexplode_outer("c").alias("k", "first"))
+            at = at.select("doc", "sum", "w", "first", (F.coalesce(F.get("c", F.col("k") + 1), F.size("m")) - F.col("first")).alias("run"), F.get("m", F.col("first")).alias("h"))
         else:
-            at = base.select("doc", "w", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("w") - n, F.lit(0)))).alias("first"))
-            at = at.select("doc", "w", "first", F.lit(1).alias("run"), F.xxhash64(F.slice("w", F.col("first") + 1, n)).alias("h"))
-        at = at.select("doc", "first", "run", "h", F.slice("w", F.col("first") + 1, F.col("run") + n - 1).alias("near"))
+            at = base.select("doc", "sum", "w", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("w") - n, F.lit(0)))).alias("first"))
+            at = at.select("doc", "sum", "w", "first", F.lit(1).alias("run"), F.xxhash64(F.slice("w", F.col("first") + 1, n)).alias("h"))
+        at = at.select("doc", "sum", "first", "run", "h", F.slice("w", F.col("first") + 1, F.col("run") + n - 1).alias("near"))
         hit = at.join(side, F.col("h") == F.col("fp"))
         same = F.filter(F.sequence(F.lit(0), F.col("run") - 1), lambda i: F.slice("near", i + 1, n) == F.col("words"))
-        found.append(hit.select("doc", "window_id", "first", F.explode(same).alias("i")).select("doc", "window_id", (F.col("first") + F.col("i")).alias("start"), F.lit(n).alias("n")))
-    out = found[0] if found else base.select("doc", F.lit("").alias("window_id"), F.lit(0).alias("start"), F.lit(0).alias("n")).where("false")
+        found.append(hit.select("doc", "sum", "window_id", "first", F.explode(same).alias("i")).select("doc", "sum", "window_id", (F.col("first") + F.col("i")).alias("start"), F.lit(n).alias("n")))
+    out = found[0] if found else base.select("doc", "sum", F.lit("").alias("window_id"), F.lit(0).alias("start"), F.lit(0).alias("n")).where("false")
     for x in found[1:]:
         out = out.union(x)
     return materialize(out.distinct(), "bench_hits"), items
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document that holds a benchmark window: ``doc, spans`` (merged, of word places, end exclusive), ``n_hit``
+    """Per document that holds a benchmark window: ``doc, sum`` (``text_key`` of its text), ``spans`` (merged, of word places, end exclusive), ``n_hit``
     words, ``items``: the item ids found, as sorted strings."""
     found, items = hits(docs, bench, id_col, text_col, item_col, item_text_col)
-    spans = found.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("stop")))).alias("s"))
+    spans = found.groupBy("doc", "sum").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("stop")))).alias("s"))
     merged = F.aggregate("s", F.struct(F.array().cast("array<struct<start:int,stop:int>>").alias("done"), F.lit(0).alias("start"), F.lit(0).alias("stop")),
                          lambda a, x: F.when(x["start"] <= a["stop"], F.struct(a["done"].alias("done"), F.when(a["stop"] > 0, a["start"]).otherwise(x["start"]).alias("start"), F.greatest(a["stop"], x["stop"]).alias("stop")))
                          .otherwise(F.struct(F.when(a["stop"] > 0, F.array_append(a["done"], F.struct(a["start"].alias("start"), a["stop"].alias("stop")))).otherwise(a["done"]).alias("done"), x["start"].alias("start"), x["stop"].alias("stop"))),
                          lambda a: F.array_append(a["done"], F.struct(a["start"].alias("start"), a["stop"].alias("stop"))))
-    spans = spans.select("doc", merged.alias("spans"))
+    spans = spans.select("doc", "sum", merged.alias("spans"))
     spans = spans.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"]))
-    named = found.select("doc", "window_id").distinct().join(items, "window_id").groupBy("doc").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return spans.alias("s").join(named.alias("n"), F.col("s.doc").eqNullSafe(F.col("n.doc"))).select("s.doc", "spans", "n_hit", "items")
+    named = found.select("doc", "sum", "window_id").distinct().join(items, "window_id").groupBy("doc", "sum").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    same = F.col("s.doc").eqNullSafe(F.col("n.doc")) & (F.col("s.sum") == F.col("n.sum"))
+    return spans.alias("s").join(named.alias("n"), same).select("s.doc", "s.sum", "spans", "n_hit", "items")

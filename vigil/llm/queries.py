@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, secrets, suffix, toxicity
-from .common import documents, ship
+from .common import documents, ship, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -86,8 +86,8 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.decontaminate(docs, bench)
-    n = docs.select("doc_id", F.size(decontaminate.words(F.col("text"))).cast("long").alias("n_words"))
-    return n.join(found, F.col("doc_id").eqNullSafe(F.col("doc")), "left").select(
+    n = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.size(decontaminate.words(F.col("text"))).cast("long").alias("n_words"))
+    return n.join(found, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("sum")), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")).cast("binary"), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
 
