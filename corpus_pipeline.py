@@ -25,12 +25,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id; rows that repeat an id and text are one."""
+    """Of each class of near duplicates the document with the smallest id, null last (of several texts of that id, one);
+    rows that repeat an id and text are one."""
     ship(spark)
     classes, _ = ngram_join.join_classes(docs)
-    kept = classes.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("kept_id"))
-    repeated = not kept.groupBy("kept_id").count().where("count > 1").isEmpty()
-    out = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    kept = classes.where("first").select(F.col("id").alias("kept_id"), F.col("sum").alias("kept_sum"))
+    repeated = not kept.groupBy("kept_id", "kept_sum").count().where("count > 1").isEmpty()
+    out = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(kept["kept_id"]) & (text_key(docs["text"]) == kept["kept_sum"]), "left_semi")
     return out.dropDuplicates(["doc_id", "text"]) if repeated else out
 
 

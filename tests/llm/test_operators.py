@@ -102,6 +102,24 @@ def test_ngram_join_odd(spark, odd_docs, no_docs):
     assert ngram_join.join_classes(no_docs)[0].count() == 0
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark, words):
+    import corpus_pipeline
+    rng = random.Random(17)
+    a, b, c, d, lone, other = (rng.choices(words, k=60) for _ in range(6))
+    near = lambda w: " ".join(w[:30] + ["changed"] + w[31:])
+    a, b, c, d, lone, other = ((w, " ".join(w)) for w in (a, b, c, d, lone, other))
+    rows = [(1, a[1]), (None, near(a[0])),  # with and without an id
+            (None, b[1]), (None, near(b[0])), (None, b[1]),  # none with an id: one stays
+            (3, c[1]), (5, near(c[0])), (5, lone[1]),  # 5 has two texts, one of them alone
+            (6, d[1]), (6, near(d[0])), (6, d[1]),  # one id, near texts
+            (None, other[1]), (7, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sum(t in (b[1], near(b[0])) for _, t in got) == 1 and sum(i == 6 for i, _ in got) == 1
+    rest = [x for x in got if x[0] != 6 and x[1] not in (b[1], near(b[0]))]
+    assert sorted(map(str, rest)) == sorted(map(str, [(1, a[1]), (3, c[1]), (5, lone[1]), (None, other[1]), (7, None), (None, None)]))
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 360)] + [(None, 3)]

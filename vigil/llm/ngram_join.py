@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, bounded_broadcast, components, materialize, mix, partitions, prefix_hash, runs, span_hash, text_bytes
+from .common import LOWER, SPACE, bounded_broadcast, components, materialize, mix, partitions, prefix_hash, runs, span_hash, text_bytes, text_key
 
 WIDTH, PERCENT = 5, 75
 #: Words of 64 bits in a set's signature; rounds in which groups of an element meet their neighbours in a shuffled order.
@@ -64,7 +64,7 @@ def _slack(n: int) -> int:
 
 
 def _heads(batches: Iterator[pa.RecordBatch], width: int, percent: int, heads: bool) -> Iterator[pa.RecordBatch]:
-    """``id, n, key`` (digest of the set); with ``heads``, ``key, head`` of sets that the task has not met before."""
+    """``id, n, key`` (digest of the set) and ``sum``; with ``heads``, ``key, head`` of sets that the task has not met before."""
     seen: set[bytes] = set()
     for batch in batches:
         sizes, keys, firsts = [], [], []
@@ -81,7 +81,7 @@ def _heads(batches: Iterator[pa.RecordBatch], width: int, percent: int, heads: b
         if len(seen) > 500_000:  # forgetting only sends a set again
             seen.clear()
         k, n = pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())
-        yield pa.RecordBatch.from_arrays([k, n, pa.array(firsts, pa.list_(pa.int64()))], ["key", "n", "head"]) if heads else pa.RecordBatch.from_arrays([batch.column(0), n, k], ["id", "n", "key"])
+        yield pa.RecordBatch.from_arrays([k, n, pa.array(firsts, pa.list_(pa.int64()))], ["key", "n", "head"]) if heads else pa.RecordBatch.from_arrays([batch.column(0), n, k, batch.column(2)], ["id", "n", "key", "sum"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -134,13 +134,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """``(id, n, component)`` for every input row, and the links found: ``(a, b)`` keys of sets.
+    """``(id, n, component, sum, first)`` for every input row, and the links found: ``(a, b)`` keys of sets. ``sum`` is
+    the text's ``text_key``; ``first`` is true for rows with the smallest id and sum of their class, null ids last.
 
     Links join classes completely; pairs inside a class beyond those that joined it are not listed."""
     spark, k = docs.sparkSession, partitions(docs.sparkSession)
     two = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    made = materialize(two.mapInArrow(lambda it: _heads(it, width, percent, False), f"id {kind}, n long, key binary"), "sets")
+    made = materialize(two.withColumn("sum", text_key(F.col("text"))).mapInArrow(lambda it: _heads(it, width, percent, False), f"id {kind}, n long, key binary, sum binary"), "sets")
     # Step 2: elements of the hash-order prefixes that more than one set has.
     heads = two.mapInArrow(lambda it: _heads(it, width, percent, True), "key binary, n long, head array<long>")
     heads = heads.select(F.xxhash64("key").alias("set"), "n", F.explode("head").alias("e")).repartition(k, "e")
@@ -206,7 +207,9 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     late = materialize(_verified(rest, sets, percent), "late_links")
     links = links.union(late)
     last = components(links, "a", "b")
-    named = made.join(last, F.col("key") == F.col("node"), "left").select("id", "n", F.coalesce("component", "key").alias("class"))
-    names = named.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("least"))
+    named = made.join(last, F.col("key") == F.col("node"), "left").select("id", "n", "sum", F.coalesce("component", "key").alias("class"))
+    row = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("sum").alias("sum"))
+    names = named.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("least"), F.min(row).alias("one"))
     named, names = named.alias("d"), names.alias("s")
-    return named.join(names, F.col("d.class") == F.col("s.class"), "left").select("id", "n", F.coalesce("least", "id").alias("component")), links
+    first = F.col("one").isNull() | (F.col("id").eqNullSafe(F.col("one.id")) & (F.col("sum") == F.col("one.sum")))
+    return named.join(names, F.col("d.class") == F.col("s.class"), "left").select("id", "n", F.coalesce("least", "id").alias("component"), "sum", first.alias("first")), links
