@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,12 @@ def test_exact(spark, odd_docs, no_docs, bits):
     assert exact.deduplicate(no_docs).count() == 0
 
 
+def test_chunks_of_one_digest_in_one_task(monkeypatch):
+    monkeypatch.setattr(exact.xxhash, "xxh3_128_digest", lambda body: bytes(16))
+    out = list(exact._chunks(iter([pa.RecordBatch.from_arrays([pa.array(["one", "two", "one"])], ["text"])]), 128))
+    assert [x["body"] for b in out for x in b.to_pylist()] == [b"one", b"two"]
+
+
 def test_chunks_depend_on_content():
     rng = np.random.default_rng(3)
     b = rng.integers(97, 123, 200_000).astype(np.uint8)

@@ -83,7 +83,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], bits: int, seen_most: int = 200_0
             for end in cut(b):
                 body = data[last:end]
                 last = end
-                own = xxhash.xxh3_128_digest(body)
+                own = hashlib.sha256(body).digest()  # not the identifier's digest, which another chunk may share
                 if own not in seen:
                     seen.add(own)
                     digests.append(_digest(body, bits))
