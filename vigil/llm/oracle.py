@@ -97,3 +97,55 @@ g AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (doc_id)
 """
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '@UP', '@LO'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+t AS (SELECT row, lang, source, unnest(words) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM k GROUP BY lang),
+s AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM c GROUP BY ALL),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000 * (coalesce(c.n, 0)::HUGEINT + 2)) // (coalesce(g.n, 0) + 2 * l.v) AS p, 1 + (1000000000 * (k.n + 2)) // (l.n + 2 * l.v) AS q
+      FROM s JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+      LEFT JOIN g ON g.lang = s.lang AND g.source = s.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0) AS value
+          FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""".replace("@UP", UP).replace("@LO", LO)
+
+#: CRC-32 by bits, as the SQL dialect has no such function: the divisor is a fixed value.
+ORACLE["op12_periodic_runs"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+crc AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS bit, 4294967295::BIGINT AS r FROM d WHERE doc_id IS NOT NULL
+        UNION ALL
+        SELECT doc_id, s, bit + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END
+        FROM (SELECT doc_id, s, bit, CASE WHEN bit % 8 = 0 THEN xor(r, ord(s[bit // 8 + 1])::BIGINT) ELSE r END AS x FROM crc WHERE bit < 8 * length(s))),
+h AS (SELECT doc_id, xor(r, 4294967295::BIGINT) AS h FROM crc WHERE bit = 8 * length(s)),
+m AS (SELECT row, doc_id, words, len(words) AS n, h.h // 10 AS g, h.h % 10 = 0 AND len(words) > 0 AS change FROM d LEFT JOIN h USING (doc_id)),
+a AS (SELECT *, CASE WHEN change THEN g % n END AS a FROM m),
+b AS (SELECT *, CASE WHEN change THEN 1 + (n - a) // (3 + g % 8) END AS p FROM a),
+e AS (SELECT row, doc_id, n, CASE WHEN change THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN words[i + 1] ELSE words[a + (i - a) % p + 1] END) ELSE words END AS w FROM b),
+-- Eight words that come again q words on; a run is a stretch of neighbours with the same q.
+f AS (SELECT row, i, w[i + 1: i + 8] AS f FROM e, unnest(range(greatest(n - 7, 0))) AS r(i)),
+j AS (SELECT x.row, x.i, y.i - x.i AS q FROM f x JOIN f y ON x.row = y.row AND x.f = y.f AND x.i < y.i),
+o AS (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS stretch FROM j),
+z AS (SELECT row, q, min(i) AS start, count(*) + 7 + q AS length FROM o GROUP BY row, q, stretch),
+u AS (SELECT row, start, length, min(q) AS period FROM z WHERE length >= greatest(24, 3 * q) GROUP BY row, start, length),
+runs AS (SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS written,
+                list({'s': start, 'l': length, 'q': period} ORDER BY start, period) AS all_runs FROM u GROUP BY row),
+best AS (SELECT row, start, length, period FROM u x WHERE NOT EXISTS (SELECT 1 FROM u y WHERE y.row = x.row AND (y.length * x.period > x.length * y.period
+         OR (y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period))))),
+gone AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM u),
+cut AS (SELECT row, list(i) AS gone FROM gone GROUP BY row)
+SELECT e.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(written, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(n)), lambda v: NOT list_contains(gone, v[2])), lambda v: v[1]) END, ' ')) AS collapsed_sha256
+FROM e LEFT JOIN runs USING (row) LEFT JOIN best USING (row) LEFT JOIN cut USING (row)
+"""

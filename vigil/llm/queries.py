@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, mixing, ngram_join, packing, quality, secrets, suffix, toxicity
+from . import chat, decontaminate, divergence, exact, large_items, mixing, ngram_join, packing, periodic, quality, secrets, suffix, toxicity
 from .common import documents, ship, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,41 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
+
+
+@register
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs, terms = divergence.audit(documents(spark, sf_dir))
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "other"))
+    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value", rank.alias("rank"))
+    return pairs.union(terms.select("lang", "source", F.lit("term"), "term", "value", "rank"))
+
+
+def with_period(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, chosen by id, repeat a stretch of words from some word on; a row without id stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")))
+    words = words.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    words = words.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    moved = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, element_at(words, int(a + (i - a) % p + 1)))), ' ')")
+    return words.select("doc_id", F.when(F.col("n") > 0, moved).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_period(documents(spark, sf_dir)))
+    longer = "r.length * best.period > best.length * r.period"  # runs come by start, then period: the first of equals stays
+    best = F.expr(f"aggregate(runs, runs[0], (best, r) -> if({longer}, r, best))")
+    written = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    found = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    return found.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"), F.sha2(written.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@register
+def op13_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    placed = large_items.pack_large_items(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.select(F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", F.col("sequence").alias("sequence_id"), "offset")
