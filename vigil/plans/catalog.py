@@ -41,6 +41,9 @@ class Catalog:
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def materialize(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name)
+
     def raw(self) -> DataFrame:
         # The landing table is written as many files (one per shuffle
         # partition) so that every later stage scans it with full parallelism.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from ..streaming import cdc, changefeed, stream
+from ..streaming import cdc, changefeed, mirror, stream
 from . import oracle as O
 from .registry import TS_COLS, o_cols, register
 
@@ -23,7 +23,9 @@ def _target(c) -> T.StructType:
 
 
 def _lines(c):
-    return changefeed.change_lines(c.source("orders"))
+    """The table is one small file: its rows are dealt to all tasks before their lines are made."""
+    n = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    return changefeed.change_lines(c.source("orders").repartition(n))
 
 
 def _typed(c):
@@ -167,3 +169,178 @@ def q_cdc_verify(c):
     """What the change feed did to the mirror, by key."""
     before = c.source("orders").select(*COLS)
     return cdc.verify(before, cdc.current_view(before, _typed(c).drop("op"), KEY), KEY)
+
+
+# --- the mirror: ledger, versions of buckets, history ---
+
+BUCKETS = 16
+
+
+def _base(spark, name):
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/vigil-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _batch_of(c, n, lines=None):
+    """The ``n``-th lines of all keys as the records of a batch."""
+    at = F.col("seq") % 10
+    df = (_lines(c) if lines is None else lines).filter(at == n)
+    return df.select(F.lit(n).cast("long").alias("batch"), F.lit(f"{n:020d}.txt").alias("file"), F.timestamp_millis(F.lit(1_700_000_000_000 + n * 86_400_000)).alias("landed_at"),
+                     (F.col("seq") / 10).cast("int").alias("pos"), "value")
+
+
+def _commit(c, base, n, read=None):
+    read = _batch_of(c, n) if read is None else read
+    return stream.commit_parsed(c.spark, base, n, cdc.parse(read), read.columns, _target(c), KEY, "public", "orders", BUCKETS)
+
+
+def _seeded(c, name):
+    base = _base(c.spark, name)
+    mirror.seed_version(c.source("orders").select(*COLS), base, KEY, BUCKETS)
+    return base
+
+
+@register("cdc_compact_buckets", O.sql(f"SELECT {o_cols(COLS)} FROM cdc_final", "cdc_final"))
+def q_cdc_compact_buckets(c):
+    """Two batches are folded into versions of buckets, the third is read on top of the last version."""
+    base = _seeded(c, "buckets")
+    for n in (0, 1):
+        _commit(c, base, n)
+        mirror.compact(c.spark, base, _target(c), KEY, stream.ORDER)
+    _commit(c, base, 2)
+    return mirror.current(c.spark, base, _target(c), KEY, stream.ORDER)
+
+
+# What the feed's n-th lines do: (class, batch, marker) of each change that is applied.
+_APPLIED = "(VALUES (0, 0, 1), (1, 0, 2), (2, 0, 0), (3, 0, 0), (4, 0, 1), (8, 0, 2), (8, 0, 1), (9, 0, 1), (3, 1, 2), (4, 1, 1), (7, 1, 1)) AS a(class, batch, marker)"
+_PER_BATCH = f"SELECT a.batch, a.marker FROM orders JOIN {_APPLIED} ON o_orderkey % 10 = a.class"
+
+
+@register("cdc_batch_gap", O.sql(f"""
+WITH n AS (SELECT count(*) FILTER (WHERE batch = 0) AS zero, count(*) FILTER (WHERE batch <= 1) AS one FROM ({_PER_BATCH}))
+SELECT v.* FROM n, LATERAL (VALUES (1, 0, 'committed', zero), (2, 2, 'gap', zero), (3, 0, 'replayed', zero), (4, 0, 'overlap', zero), (5, 1, 'committed', one), (6, 2, 'committed', one)) AS v(attempt, batch, outcome, changes)"""))
+def q_cdc_batch_gap(c):
+    """What becomes of batches that come in order, too early, again, and again with other lines; and how many
+    changes a reader sees after each."""
+    spark, base = c.spark, _base(c.spark, "gap")
+    other = _batch_of(c, 0).withColumn("value", F.concat("value", F.lit(" ")))
+    out = None
+    for attempt, (n, read) in enumerate([(0, None), (2, None), (0, None), (0, other), (1, None), (2, None)], 1):
+        try:
+            outcome = _commit(c, base, n, read)
+        except mirror.LedgerError as e:
+            outcome = "gap" if "gap" in str(e) else "overlap"
+        seen = stream.changes(spark, base, _target(c)).agg(F.count("*").alias("changes"))
+        row = seen.select(F.lit(attempt).alias("attempt"), F.lit(n).alias("batch"), F.lit(outcome).alias("outcome"), "changes")
+        row = c.materialize(row, "gap")  # as it is now
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("cdc_torn_batch", O.sql(f"""
+WITH n AS (SELECT count(*) FILTER (WHERE batch = 0) AS c0, count(*) AS c1 FROM ({_PER_BATCH} WHERE a.batch <= 1)),
+q AS (SELECT count(*) FILTER (WHERE o_orderkey % 10 = 6) AS q0, count(*) FILTER (WHERE o_orderkey % 10 IN (6, 9)) AS q1 FROM orders)
+SELECT v.* FROM n, q, LATERAL (VALUES ('before', c0, 1, q0), ('torn', c0, 1, q0), ('again', c1, 2, q1)) AS v(moment, changes, stats, quarantine)"""))
+def q_cdc_torn_batch(c):
+    """A batch whose last part fails is seen by no reader, in none of its parts; its next attempt is."""
+    spark, base, out = c.spark, _base(c.spark, "torn"), None
+
+    def look(moment):
+        parts = [df.agg(F.count("*").alias(n)) for n, df in (("changes", stream.changes(spark, base, _target(c))), ("stats", stream.stats(spark, base)), ("quarantine", stream.quarantine(spark, base)))]
+        row = parts[0].crossJoin(F.broadcast(parts[1])).crossJoin(F.broadcast(parts[2])).select(F.lit(moment).alias("moment"), "*")  # one row each
+        return c.materialize(row, "torn")
+
+    _commit(c, base, 0)
+    out = look("before")
+    read = _batch_of(c, 1)
+    fails = F.when(F.col("pos") >= 0, F.raise_error(F.lit("lost"))).otherwise(F.lit(""))
+    good = cdc.compact(cdc.coerce(cdc.decode(read.withColumn("seq", F.struct("batch", "file", "pos", F.lit(1).alias("part")).cast(stream.ORDER))), _target(c), "public", "orders", keep=("seq", "landed_at"), unchanged=True), KEY)
+    try:
+        mirror.commit(spark, base, 1, {"changes": good, "stats": cdc.batch_stats(good), "quarantine": read.select(fails.alias("reason"))}, {"records": 0}, buckets=[], n_buckets=BUCKETS)
+    except mirror.LedgerError:
+        raise
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    out = out.unionByName(look("torn"))
+    _commit(c, base, 1)
+    return out.unionByName(look("again"))
+
+
+# Every version of a row: the snapshot, then each change; a price that a change leaves as it was is that of the snapshot.
+O.extra("cdc_versions", ["cdc_decoded"], f"""
+SELECT -1 AS seq, '0' AS {M}, {', '.join(COLS)} FROM orders
+UNION ALL SELECT seq, {M}, d.o_orderkey, d.o_custkey, d.o_orderstatus, CASE WHEN d.o_orderstatus = 'T' THEN o.o_totalprice ELSE d.o_totalprice END, d.o_orderdate, d.o_orderpriority
+FROM cdc_decoded d LEFT JOIN orders o ON o.o_orderkey = d.o_orderkey""")
+
+
+def _feed(c):
+    """Snapshot and typed changes as one feed, ordered by line."""
+    typed = _typed(c).drop("op")
+    seeds = cdc.seed(c.source("orders").select(*COLS)).withColumns({"seq": F.lit(-1).cast("long"), cdc.UNCHANGED_COL: F.array().cast("array<string>")})
+    return seeds.select(*typed.columns).unionByName(typed)
+
+
+_AT = (0, 1, 2)
+
+
+@register("cdc_as_of", O.sql(" UNION ALL ".join(f"""
+SELECT {n} AS moment, {o_cols(COLS)} FROM (SELECT * FROM cdc_versions WHERE seq // 2 % 10 <= {n} QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1) WHERE {M} <> '2'""" for n in _AT), "cdc_versions"))
+def q_cdc_as_of(c):
+    """The mirror as it was after each of three batches, read from one feed."""
+    feed = _feed(c).withColumn("seq", F.struct(F.when(F.col("seq") < 0, -1).otherwise(F.floor(F.col("seq") / 2) % 10).cast("int").alias("batch"), "seq"))
+    out = None
+    for n in _AT:
+        at = F.struct(F.lit(n).alias("batch"), F.lit(2**62).alias("seq"))
+        one = mirror.as_of(feed, KEY, at).select(F.lit(n).alias("moment"), *COLS)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("cdc_mirror_as_of", O.sql(" UNION ALL ".join(f"""
+SELECT {n} AS moment, {o_cols(COLS)} FROM (SELECT * FROM cdc_versions WHERE seq // 2 % 10 <= {n} QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1) WHERE {M} <> '2'""" for n in _AT), "cdc_versions"))
+def q_cdc_mirror_as_of(c):
+    """The same from the written mirror, with a version in between."""
+    base, out = _seeded(c, "asof"), None
+    for n in _AT:
+        _commit(c, base, n)
+        if n == 1:
+            mirror.compact(c.spark, base, _target(c), KEY, stream.ORDER)
+    for n in _AT:
+        one = mirror.current(c.spark, base, _target(c), KEY, stream.ORDER, upto=n).select(F.lit(n).alias("moment"), *COLS)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("cdc_validity", O.sql(f"""
+SELECT o_orderkey, {M}, o_orderstatus, seq AS valid_from, lead(seq) OVER (PARTITION BY o_orderkey ORDER BY seq) AS valid_to FROM cdc_versions""", "cdc_versions"))
+def q_cdc_validity(c):
+    """The time in which each version of a row was the visible one."""
+    return mirror.validity(_feed(c), KEY).select(KEY, M, "o_orderstatus", "valid_from", "valid_to")
+
+
+@register("cdc_version_counts", O.sql(f"""
+SELECT count(*) FILTER (WHERE valid_to IS NULL AND {M} <> '2') AS visible, count(*) FILTER (WHERE valid_to IS NOT NULL) AS superseded, count(*) FILTER (WHERE valid_to IS NULL AND {M} = '2') AS deleted
+FROM (SELECT {M}, lead(seq) OVER (PARTITION BY o_orderkey ORDER BY seq) AS valid_to FROM cdc_versions)""", "cdc_versions"))
+def q_cdc_version_counts(c):
+    return mirror.version_counts(mirror.validity(_feed(c), KEY))
+
+
+@register("cdc_retained", O.sql(f"""
+WITH v AS (SELECT count(*) FILTER (WHERE batch >= 3) AS kept, count(*) AS every FROM (SELECT o_orderkey % 12 AS batch FROM orders))
+SELECT v.kept AS in_window, v.kept AS after_expiry, (SELECT count(*) FROM orders) AS current_rows FROM v"""))
+def q_cdc_retained(c):
+    """Twelve daily batches that set one status each; seven days stay in the feed, and no row is lost from the mirror."""
+    spark, base, target = c.spark, _seeded(c, "retained"), _target(c)
+    k = F.col(KEY)
+    value = F.concat(F.lit("table public.orders: UPDATE: o_orderkey[bigint]:"), k, F.lit(" o_orderstatus[text]:'D' o_custkey[bigint]:unchanged-toast-datum"))
+    lines = c.source("orders").select((F.floor(k / 12) * 1000 + k % 12).alias("seq"), value.alias("value"), (k % 12).alias("day"))
+    for n in range(12):
+        day = lines.filter(F.col("day") == n).withColumn("seq", F.lit(10) * F.col("seq")).drop("day")
+        _commit(c, base, n, _batch_of(c, 0, day).withColumns({"batch": F.lit(n).cast("long"), "landed_at": F.timestamp_millis(F.lit(1_700_000_000_000 + n * 86_400_000))}))
+    window = stream.history(spark, base, target, 8).agg(F.count("*").alias("in_window"))
+    window = c.materialize(window, "window")
+    mirror.compact(spark, base, target, KEY, stream.ORDER)
+    mirror.expire(spark, base, 8)
+    after = stream.changes(spark, base, target).agg(F.count("*").alias("after_expiry"))
+    rows = mirror.current(spark, base, target, KEY, stream.ORDER).agg(F.count("*").alias("current_rows"))
+    return window.crossJoin(F.broadcast(after)).crossJoin(F.broadcast(rows))  # one row each

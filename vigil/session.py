@@ -16,6 +16,8 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -92,3 +94,19 @@ def drop_scratch(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables: for the end of a job, when its results have been written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigil-tables")
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once an application: they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="vigil-ship-")  # the driver serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder) / "vigil.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._vigil_shipped = True

@@ -29,19 +29,21 @@ from pyspark.sql import types as T
 # Line grammar and markers.
 # ---------------------------------------------------------------------------
 NAME = r'"(?:[^"]|"")+"|[^".:\s]+'
-HEADER = rf"^table ({NAME})\.({NAME}): (INSERT|UPDATE|DELETE):(?: |$)"
+SCHEMA_TABLE = rf"^table ({NAME})\.({NAME}): "
 # A field: name, type in brackets (itself with brackets for arrays), value.
 COLUMN, TYPE, VALUE = r'"(?:[^"]|"")+"|[^"\[\s]+', r"(?:[^\[\]]|\[\])*", r"'(?:[^']|'')*+'|[^\s']+"
-FIELD = rf"({COLUMN})\[({TYPE})\]:({VALUE})"
+FIELD_TYPE, QUOTED = rf"^({TYPE})\]:", r'^("(?:[^"]|"")+")'
 OLD_KEY, NEW_TUPLE, NO_TUPLE, UNCHANGED = "old-key:", "new-tuple:", "(no-tuple-data)", "unchanged-toast-datum"
 TOKEN = rf"(?:old-key:|new-tuple:|\(no-tuple-data\)|(?:{COLUMN})\[{TYPE}\]:(?:{VALUE}))"
-BODY = rf"^((?:{TOKEN}(?: +|(?=\n)|$))*+)"
+# The header, then tokens that follow each other without a gap: all that is understood of a record, cut in one pass.
+LEXEME = rf"^table (?:{NAME})\.(?:{NAME}): (?:INSERT|UPDATE|DELETE):(?: |$)|\G{TOKEN}(?: +|(?=\n)|$)"
 CONTROL = r"^(?:BEGIN|COMMIT)(?: [^\n]*)?$"
 RECORD_START = r"\n(?=table |BEGIN|COMMIT)"
 ROW_MARKER, UNCHANGED_COL = "__rowMarker__", "__unchanged__"
 MARKERS = {"INSERT": "0", "UPDATE": "1", "DELETE": "2", "UPSERT": "4"}
 TRUE_TEXT = ("t", "true", "TRUE", "1")
 FIELD_STRUCT = "array<struct<name:string,type:string,value:string>>"
+MARKS = (OLD_KEY, NEW_TUPLE, NO_TUPLE)
 
 
 def _unquote(x: Column, q: str) -> Column:
@@ -56,40 +58,54 @@ def records(text: Column) -> Column:
     return F.split(text, RECORD_START)
 
 
-def _parsed(lines: DataFrame, value_col: str) -> DataFrame:
-    """Adds ``__ok`` (a change understood to its end), ``__tokens`` and
-    ``__junk``: lines after the record that belong to no record."""
-    v = F.col(value_col)
-    payload = F.regexp_replace(v, HEADER, "")
-    df = lines.withColumn("__payload", F.when(v.rlike(HEADER), payload))
-    df = df.withColumn("__body", F.regexp_extract("__payload", BODY, 1))
-    tail = F.substring(F.col("__payload"), F.length("__body") + 1, F.length("__payload"))
-    df = df.withColumn("__tail", tail)
-    df = df.withColumn("__tokens", F.regexp_extract_all("__body", F.lit(TOKEN), 0))
-    names = F.transform(_fields(F.col("__tokens")), lambda f: f["name"])
-    # old-key and new-tuple may both have a column; within one of them it is there once.
-    cut = F.array_position("__tokens", NEW_TUPLE)
-    twice = lambda t: F.size(_names(t)) != F.size(F.array_distinct(_names(t)))
-    repeated = twice(F.slice("__tokens", F.lit(1), F.greatest(cut - 1, F.lit(0)).cast("int"))) | twice(_after(cut))
-    reason = (F.when(F.col("__payload").isNull(), "not a change")
-              .when((F.col("__tail") != "") & ~F.col("__tail").startswith("\n"), "payload not understood")
-              .when(F.size(names) == 0, "no tuple").when(repeated, "repeated column"))
-    return df.withColumn("__reason", reason)
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once a row, however often later steps and filters name them: neither projections nor
+    predicates are merged through the generator."""
+    one = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.explode(F.array(one)).alias("__once")).select("*", "__once.*").drop("__once")
 
 
 def _fields(tokens: Column) -> Column:
-    own = F.filter(tokens, lambda t: ~t.isin(OLD_KEY, NEW_TUPLE, NO_TUPLE))
-    return F.transform(own, lambda t: F.struct(
-        _unquote(F.regexp_extract(t, FIELD, 1), '"').alias("name"), F.regexp_extract(t, FIELD, 2).alias("type"),
-        F.regexp_extract(t, FIELD, 3).alias("value")))
+    """Tokens as ``(mark, name, type, value)``: either a mark or a field."""
+    raw = F.transform(tokens, lambda t: F.struct(t.alias("t"), F.when(t.startswith('"'), F.regexp_extract(t, QUOTED, 1)).otherwise(F.substring_index(t, "[", 1)).alias("n")))
+    raw = F.transform(raw, lambda x: F.struct(x["t"].alias("t"), x["n"].alias("n"), F.regexp_extract(F.substring(x["t"], F.length(x["n"]) + 2, F.length(x["t"])), FIELD_TYPE, 1).alias("k")))
+    return F.transform(raw, lambda x: F.struct(
+        F.when(x["t"].isin(*MARKS), x["t"]).alias("mark"), _unquote(x["n"], '"').alias("name"), x["k"].alias("type"),
+        F.substring(x["t"], F.length(x["n"]) + F.length(x["k"]) + 4, F.length(x["t"])).alias("value")))
+
+
+def _own(fields: Column) -> Column:
+    return F.filter(fields, lambda f: f["mark"].isNull())
+
+
+def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Adds ``__head``, ``__fields``, ``__cut`` (where the new tuple starts, else 0), ``__tail`` (lines after the record that
+    belong to no record) and ``__reason`` (why it is no change, or NULL)."""
+    v = F.col(value_col)
+    df = _once(lines, __lex=F.regexp_extract_all(v, F.lit(LEXEME), 0))
+    lex = F.col("__lex")
+    change = F.coalesce(F.get(lex, F.lit(0)).startswith("table "), F.lit(False))
+    end = F.aggregate(lex, F.lit(0), lambda n, t: n + F.length(t))
+    tokens = F.transform(F.slice(lex, F.lit(2), F.greatest(F.size(lex) - 1, F.lit(0))), lambda t: F.rtrim(t))
+    df = _once(df, __head=F.when(change, F.get(lex, F.lit(0))), __fields=F.when(change, _fields(tokens)), __tail=F.when(change, F.substring(v, end + 1, F.length(v))))
+    fields = F.col("__fields")
+    df = _once(df, __cut=F.array_position(F.transform(fields, lambda f: F.coalesce(f["mark"], F.lit(""))), NEW_TUPLE))
+    # old-key and new-tuple may both have a column; within one of them it is there once.
+    names = lambda f: F.transform(_own(f), lambda x: x["name"])
+    twice = lambda f: F.size(names(f)) != F.size(F.array_distinct(names(f)))
+    repeated = twice(_before()) | twice(_after())
+    tail = F.col("__tail")
+    reason = (F.when(tail.isNull(), "not a change").when((tail != "") & ~tail.startswith("\n"), "payload not understood")
+              .when(F.size(_own(fields)) == 0, "no tuple").when(repeated, "repeated column"))
+    return _once(df, __reason=reason).drop("__lex")
 
 
-def _names(tokens: Column) -> Column:
-    return F.transform(_fields(tokens), lambda f: f["name"])
+def _before() -> Column:
+    return F.slice("__fields", F.lit(1), F.greatest(F.col("__cut") - 1, F.lit(0)).cast("int"))
 
 
-def _after(cut: Column) -> Column:
-    return F.slice("__tokens", (cut + 1).cast("int"), F.size("__tokens"))
+def _after() -> Column:
+    return F.slice("__fields", (F.col("__cut") + 1).cast("int"), F.size("__fields"))
 
 
 def _maps(fields: Column) -> list[Column]:
@@ -104,15 +120,17 @@ def decode(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Records -> (schema_name, table_name, op, part, marker, fields and field_types by name, unchanged columns);
     other columns (e.g. an order) are kept. ``part`` orders the delete (0) and the update (1) of a change of key."""
     keep = [c for c in lines.columns if c != value_col]
-    v = F.col(value_col)
-    p = _parsed(lines, value_col).filter(F.col("__reason").isNull())
-    cut = F.array_position("__tokens", NEW_TUPLE)
-    change = lambda part, op, fields: F.struct(F.lit(part).alias("part"), op.alias("op"), fields.cast(FIELD_STRUCT).alias("f"))
-    op = F.regexp_extract(v, HEADER, 3)
-    both = F.array(change(0, F.lit("DELETE"), _fields(F.slice("__tokens", F.lit(1), (cut - 1).cast("int")))), change(1, op, _fields(_after(cut))))
-    each = F.when(cut > 0, both).otherwise(F.array(change(1, op, _fields(F.col("__tokens")))))
-    out = p.select(*keep, _unquote(F.regexp_extract(v, HEADER, 1), '"').alias("schema_name"),
-                   _unquote(F.regexp_extract(v, HEADER, 2), '"').alias("table_name"), F.explode(each).alias("__c"))
+    return decode_parsed(parse(lines, value_col), keep)
+
+
+def decode_parsed(parsed: DataFrame, keep: list[str]) -> DataFrame:
+    """``decode`` for records that ``parse`` has read."""
+    p = _once(parsed.filter(F.col("__reason").isNull()), __s=F.regexp_extract("__head", SCHEMA_TABLE, 1), __t=F.regexp_extract("__head", SCHEMA_TABLE, 2))
+    part = lambda n, op, fields: F.struct(F.lit(n).alias("part"), op.alias("op"), F.transform(_own(fields), lambda f: F.struct(f["name"].alias("name"), f["type"].alias("type"), f["value"].alias("value"))).cast(FIELD_STRUCT).alias("f"))
+    head = F.col("__head")
+    op = F.substring_index(F.substring_index(F.rtrim(head), ":", -2), ":", 1)
+    each = F.when(F.col("__cut") > 0, F.array(part(0, F.lit("DELETE"), _before()), part(1, F.ltrim(op), _after()))).otherwise(F.array(part(1, F.ltrim(op), F.col("__fields"))))
+    out = p.select(*keep, _unquote(F.col("__s"), '"').alias("schema_name"), _unquote(F.col("__t"), '"').alias("table_name"), F.explode(each).alias("__c"))
     # A full old tuple with the same values says nothing that the update does not.
     out = out.select(*keep, "schema_name", "table_name", F.col("__c.op").alias("op"), F.col("__c.part").alias("part"), *_maps(F.col("__c.f")))
     return out.withColumn(ROW_MARKER, mark(F.col("op")))
@@ -121,8 +139,11 @@ def decode(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def quarantine(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Records that are neither a change nor BEGIN/COMMIT, and lines that follow a record without being one, with
     the ``reason``."""
-    p = _parsed(lines, value_col)
-    keep = [c for c in lines.columns if c != value_col]
+    return quarantine_parsed(parse(lines, value_col), [c for c in lines.columns if c != value_col], value_col)
+
+
+def quarantine_parsed(p: DataFrame, keep: list[str], value_col: str = "value") -> DataFrame:
+    """``quarantine`` for records that ``parse`` has read."""
     v = F.col(value_col)
     control = v.rlike(CONTROL)
     whole = F.when(F.col("__reason").isNotNull() & ~control & (F.trim(v) != ""), F.struct(v.alias("value"), F.col("__reason").alias("reason")))

@@ -1,14 +1,10 @@
 """Structured Streaming jobs: CDC apply loop and streaming rules.
 
-``run_stream`` reads change files as they land, decodes and coerces them, and
-in ``foreachBatch`` appends each micro-batch's compacted changes to an
-append-only change table partitioned by batch id (``batch=%020d``). Writing a
-batch overwrites exactly its own folder, so a replayed batch (at-least-once
-delivery after a failure) changes nothing. Changes are ordered by the struct
-(batch, file, record, part): any number of files, records and batches.
-``current`` is merge-on-read: latest change per key over seed + feed;
-``snapshot`` folds the feed into a new seed version (never overwriting a
-folder that readers use). Progress lives in the streaming checkpoint.
+``run_stream`` reads change files as they land, decodes and coerces them once, and in ``foreachBatch`` commits each
+micro-batch to the mirror's ledger (see ``mirror``): its compacted changes, counts and quarantine become visible together or
+not at all, and a replayed batch (at-least-once delivery after a failure) changes nothing. Changes are ordered by the struct
+(batch, file, record, part): any number of files, records and batches. ``current`` is merge-on-read: the last version's
+buckets and the batches behind it, or seed and feed where no version has been made. Progress lives in the streaming checkpoint.
 """
 
 from __future__ import annotations
@@ -19,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators import rules as R
 from ..operators import silver
-from . import cdc
+from . import cdc, mirror
 
 ORDER = "struct<batch:bigint,file:string,pos:int,part:int>"
 
@@ -36,23 +32,20 @@ def read_lines_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
 
 def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint: str,
                target: T.StructType, key: str, schema_name: str | None = None, table_name: str | None = None,
-               trigger: str = "availableNow", max_files_per_trigger: int | None = None):
-    """Start the CDC apply stream; returns the StreamingQuery."""
+               trigger: str = "availableNow", max_files_per_trigger: int | None = None, buckets: int = 64, numbered: bool = False):
+    """Start the CDC apply stream; returns the StreamingQuery. ``buckets`` is that of the mirror's versions. ``numbered``:
+    change files are named by numbers without gaps; a missing one is an error before anything is read."""
+    if numbered:
+        mirror.check_landing(spark, target_dir, source_dir)
     lines = read_lines_stream(spark, source_dir, max_files_per_trigger)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("batch", F.lit(batch_id).cast("long"))
-        seq = F.struct("batch", "file", "pos", "part").cast(ORDER).alias("seq")
-        decoded = cdc.decode(b).withColumn("seq", seq)
-        typed = cdc.coerce(decoded, target, schema_name, table_name, keep=("seq", "landed_at"), unchanged=True)
-        compacted = cdc.compact(typed, key, "seq")
-        at = f"batch={batch_id:020d}"
-        compacted.write.mode("overwrite").option("compression", "zstd").parquet(f"{target_dir}/changes/{at}")
-        good = cdc.good_keys(typed, key)
-        (cdc.batch_stats(good).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").json(f"{target_dir}/stats/{at}"))
-        named = cdc.bad_keys(typed, key).select("seq", F.to_json(F.struct(*target.names)).alias("value"), "reason")
-        lost = cdc.quarantine(b.withColumn("part", F.lit(0))).select(seq, "value", "reason")
-        lost.unionByName(named).write.mode("overwrite").parquet(f"{target_dir}/quarantine/{at}")
+        read = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        parsed = cdc.parse(read).persist()
+        try:
+            commit_parsed(spark, target_dir, batch_id, parsed, read.columns, target, key, schema_name, table_name, buckets, numbered)
+        finally:
+            parsed.unpersist()
 
     w = lines.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     if trigger == "availableNow":
@@ -62,35 +55,58 @@ def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint
     return w.start()
 
 
+def commit_parsed(spark: SparkSession, target_dir: str, batch_id: int, parsed: DataFrame, columns: list[str], target: T.StructType, key: str,
+                  schema_name: str | None, table_name: str | None, buckets: int, numbered: bool = False) -> str:
+    """Commit one batch of parsed records (``cdc.parse``) of columns ``batch, file, landed_at, pos, value``."""
+    keep = [c for c in columns if c != "value"]
+    seq = F.struct("batch", "file", "pos", "part").cast(ORDER).alias("seq")
+    decoded = cdc.decode_parsed(parsed, keep).withColumn("seq", seq)
+    typed = cdc.coerce(decoded, target, schema_name, table_name, keep=("seq", "landed_at"), unchanged=True)
+    changes = cdc.compact(typed, key, "seq").select(*[f.name for f in mirror.feed_schema(target, ORDER).fields])
+    named = cdc.bad_keys(typed, key).select("seq", F.to_json(F.struct(*target.names)).alias("value"), "reason")
+    lost = cdc.quarantine_parsed(parsed.withColumn("part", F.lit(0)), [*keep, "part"]).select(seq, "value", "reason")
+    stats = cdc.batch_stats(cdc.good_keys(typed, key)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    number = F.regexp_extract("file", r"([0-9]+)\.[^/]*$", 1).try_cast("long")
+    seen = parsed.agg(F.count(F.lit(1)).alias("records"), F.countDistinct("file").alias("files"), F.sum(F.xxhash64("file", "pos", "value").cast("decimal(38,0)")).alias("hash"),
+                      F.max(F.unix_millis("landed_at")).alias("landed"), F.min(number).alias("first"), F.max(number).alias("last")).first()
+    source = {"records": seen.records, "files": seen.files, "hash": str(seen["hash"])} | ({"first": seen["first"], "last": seen["last"]} if numbered else {})
+    touched = [r.b for r in changes.select(mirror.bucket_of(key, buckets).alias("b")).distinct().collect()]  # at most `buckets`
+    return mirror.commit(spark, target_dir, batch_id, {"changes": changes, "stats": stats, "quarantine": lost.unionByName(named)}, source,
+                         buckets=sorted(touched), n_buckets=buckets, landed=seen.landed)
+
+
 def changes(spark: SparkSession, target_dir: str, target: T.StructType) -> DataFrame:
-    """The change feed written by ``run_stream``; empty if no batch has landed. Any other failure is raised."""
-    extra = T.StructType.fromDDL(f"seq {ORDER}, landed_at timestamp, {cdc.UNCHANGED_COL} array<string>, {cdc.ROW_MARKER} string")
-    schema = T.StructType(list(target.fields) + extra.fields)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target_dir}/changes")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{target_dir}/changes")
+    """The change feed of all committed batches; empty if there is none. Any other failure is raised."""
+    return mirror.read_part(spark, target_dir, "changes", mirror.feed_schema(target, ORDER))
+
+
+def quarantine(spark: SparkSession, target_dir: str) -> DataFrame:
+    return mirror.read_part(spark, target_dir, "quarantine", T.StructType.fromDDL(f"seq {ORDER}, value string, reason string"))
+
+
+def stats(spark: SparkSession, target_dir: str) -> DataFrame:
+    return mirror.read_part(spark, target_dir, "stats", T.StructType.fromDDL("inserts long, updates long, deletes long, upserts long, batch_id long"))
 
 
 def high_water(spark: SparkSession, target_dir: str, target: T.StructType) -> DataFrame:
-    """The last change in the feed: one row with its order, and how many batches and keys the feed holds."""
-    ch = spark.read.schema(changes(spark, target_dir, target).schema.add("batch", "string")).parquet(f"{target_dir}/changes")
-    return ch.agg(F.max("seq").alias("last"), F.countDistinct("batch").alias("batches"), F.count("*").alias("changes"))
+    """The last change in the feed, read from the newest batch alone: one row with its order, and the batch's changes."""
+    known = mirror.ledger(spark, target_dir)
+    after = known[-1]["batch"] - 1 if known else -1
+    ch = mirror.read_part(spark, target_dir, "changes", mirror.feed_schema(target, ORDER), after)
+    return ch.agg(F.max("seq").alias("last"), F.count("*").alias("changes")).withColumn("batches", F.lit(len(known)))
 
 
 def current(spark: SparkSession, seed_df: DataFrame, target_dir: str, target: T.StructType, key: str) -> DataFrame:
-    """Merge-on-read view of the mirror."""
-    ch = changes(spark, target_dir, target)
-    cols = [f.name for f in target.fields] + ["seq", cdc.UNCHANGED_COL, cdc.ROW_MARKER]
-    return cdc.current_view(seed_df.select(*[f.name for f in target.fields]), ch.select(*cols), key)
-
-
-def snapshot(spark: SparkSession, seed_df: DataFrame, target_dir: str, target: T.StructType, key: str,
-             version: int) -> DataFrame:
-    """Fold seed + feed into a new seed version folder and return it."""
-    path = f"{target_dir}/snapshot/version={version:020d}"
-    current(spark, seed_df, target_dir, target, key).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Merge-on-read view of the mirror; ``seed_df`` is what it starts from where no version has been made."""
+    if mirror.versions(spark, target_dir):
+        return mirror.current(spark, target_dir, target, key, ORDER)
+    ch = changes(spark, target_dir, target).drop("landed_at")
+    return cdc.current_view(seed_df.select(*[f.name for f in target.fields]), ch, key)
+
+
+def history(spark: SparkSession, target_dir: str, target: T.StructType, retain_days: int = 7) -> DataFrame:
+    """The change feed of the last ``retain_days`` before the newest change, with ``landed_at``."""
+    return cdc.history(changes(spark, target_dir, target), "landed_at", retain_days)
 
 
 # ---------------------------------------------------------------- X1 - X3
