@@ -264,6 +264,35 @@ def test_targets_and_bounds(spark, odd_docs, no_docs):
     assert mixing.mix(odd_docs).count() == odd_docs.count()
 
 
+def _hot(spark):
+    """A third of the rows without id and of one size, a third that repeat one id, and equal rows among both."""
+    rows = [(None, f"w{i % 400} " * 7, "b") for i in range(600)] + [(1, f"x{i % 3} " * 7, "b") for i in range(600)] + [(10 + i, "y " * (i % 30 + 1), "a" if i % 2 else "b") for i in range(600)]
+    return spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, source string, key int")
+
+
+def test_each_copy_has_its_own_place(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    docs = _hot(spark).repartition(5)
+    mixed = mixing.mix(docs, keep_text=False).collect()
+    taken, target = Counter(), {}
+    for r in mixed:
+        taken[r.mix_source] += r.mix_size * r.mix_times
+        target[r.mix_source] = r.mix_target
+    assert len(mixed) == docs.count() and all(abs(taken[s] - target[s]) <= 30 for s in target)
+    whole = mixing.mix(docs)
+    assert sorted((r.row.doc_id or -1, r.mix_size, r.mix_times) for r in whole.collect()) == sorted((r.mix_id or -1, r.mix_size, r.mix_times) for r in mixed)
+    assert Counter(r.row for r in whole.collect()) == Counter(docs.collect())
+    again = mixing.mix(docs.repartition(3), keep_text=False).collect()
+    assert Counter(again) == Counter(mixed)  # however the rows come
+
+
+def test_hot_rows_fill_many_shards(spark):
+    sizes = [r.n for r in packing.pack(_hot(spark), row_tokens=64, shard_bytes=1024).groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()]
+    assert len(sizes) >= 20 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    empty = spark.createDataFrame([(i, None) for i in range(640)], "doc_id long, text string")
+    assert packing.pack(empty, row_tokens=64, shard_bytes=1024).select("shard").distinct().count() >= 8
+
+
 # --- decontamination ---
 
 def test_decontaminate_odd_and_short_items(spark, odd_docs, no_docs):

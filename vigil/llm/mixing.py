@@ -9,7 +9,8 @@ Running sums never sort a source in one task: documents are dealt to even ranges
 first, and only the table of range sums (ranges x sources rows) is put in order.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; documents of size 0
-take no words; repeated rows are served like any others, one place each; an empty table gives an empty mix.
+take no words; repeated rows, rows of one id and rows without id have a place each, and equal ones differ only in their
+number; an empty table gives an empty mix.
 Other columns are only carried, inside the struct ``row``, so their names cannot clash.
 """
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize, partitions, text_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,48 +49,87 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return per.select("source", "source_size", F.least("cap", F.coalesce(level, F.lit(float("inf"))) * F.col("w")).alias("target"))
 
 
+#: Copies that one row is unfolded into by one task.
+BLOCK = 4096
+GROUP = ["id", "source", "size", "key"]
+
+
+def _entries(narrow: DataFrame, ranges: int) -> DataFrame:
+    """An entry for each row of ``id, source, size, key`` with its number ``copy`` among equal rows, its place ``h`` in the
+    shuffled order and its range ``r`` of places. Equal rows are counted first and unfolded in blocks, so a hot group is spread."""
+    group = narrow.groupBy(*GROUP).agg(F.count("*").alias("copies"))
+    own = ["id", "source", "size"]
+    shared = group.groupBy(*own).agg(F.sum("copies").alias("n")).where("n > 1").select(*[F.col(c).alias(f"of_{c}") for c in own])
+    same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size"))
+    group = group.join(shared.withColumn("shared", F.lit(True)), same, "left").select(*GROUP, "copies", F.coalesce("shared", F.lit(False)).alias("shared"))
+    blocks = group.where("copies > 1").select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / BLOCK).cast("int"))).alias("block")).repartition(*GROUP, "block")
+    copy = F.sequence(F.col("block") * BLOCK + 1, F.least(F.col("copies"), (F.col("block") + 1) * BLOCK).cast("int"))
+    each = group.where("copies = 1").withColumn("copy", F.lit(1)).unionByName(blocks.withColumn("copy", F.explode(copy)).drop("block"))
+    name = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    name = F.when(F.col("shared"), F.concat_ws(":", name, F.hex("key"), "copy")).otherwise(name)
+    each = each.withColumn("h", F.md5(name.cast("binary"))).drop("shared")
+    return each.withColumn("r", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * ranges / 2.0 ** 32).cast("int"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``copy``: the number of a row among the rows of its group, 1 if ``copies`` is 1. No group meets in one task: rows
+    are numbered within the task that wrote them, and the tasks' counts are added up."""
+    twice = materialize(rows.where("copies > 1").withColumn("u", F.monotonically_increasing_id()), "mix_repeats").withColumn("part", F.shiftright("u", 33))
+    inside = Window.partitionBy("part", *GROUP).orderBy("u")
+    before = Window.partitionBy(*GROUP).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = twice.groupBy("part", *GROUP).agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    parts = parts.select(*[F.col(c).alias(f"of_{c}") for c in ["part", *GROUP]], "before")
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ["part", *GROUP]]
+    number = twice.select("u", "part", *GROUP, F.row_number().over(inside).alias("k")).join(parts, same).select(F.col("u").alias("at"), (F.col("k") + F.col("before")).cast("int").alias("copy"))
+    twice = twice.join(number, F.col("u") == F.col("at")).drop("u", "part", "at")
+    return rows.where("copies = 1").withColumn("copy", F.lit(1)).unionByName(twice)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2, keep_text: bool = True) -> DataFrame:
     """For every input row ``mix_size, mix_source_size, mix_target, mix_times`` (how often the mix serves it) and
     ``mix_finish`` (its first virtual finish time), with the row itself as a struct ``row`` if ``keep_text``, else with
     ``mix_id, mix_source``. ``mix_size * mix_times`` words enter the mix."""
     n = partitions(docs.sparkSession)
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    # Repeated rows of one document are one entry with their number.
-    narrow = narrow.groupBy("source", "id", "size").agg(F.count("*").alias("copies"))
-    narrow = narrow.withColumn("h", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
-    narrow = narrow.withColumn("r", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * n / 2.0 ** 32).cast("int"))
-    narrow = materialize(narrow, "mix_sizes")
-    words = F.sum(F.col("size") * F.col("copies"))
-    ranges = narrow.groupBy("source", "r").agg(words.alias("words"))
+    own = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), text_key(F.col(text_col)).alias("key")]
+    entries = materialize(_entries(docs.select(*own), n), "mix_sizes")
+    words = F.sum("size")
+    ranges = entries.groupBy("source", "r").agg(words.alias("words"))
     ahead = Window.partitionBy("source").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
     targets = source_targets(ranges.select("source", F.col("words").alias("size")), weights, share, max_repeats).withColumnRenamed("source", "of")
     ranges = ranges.join(targets, F.col("source").eqNullSafe(F.col("of"))).select(F.col("source").alias("of"), F.col("r").alias("in"), "ahead", "source_size", "target")
-    inside = Window.partitionBy("source", "r").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = narrow.withColumn("upto", words.over(inside))
+    inside = Window.partitionBy("source", "r").orderBy("h", "id", "size", "key", "copy").rowsBetween(Window.unboundedPreceding, 0)
+    placed = entries.withColumn("upto", words.over(inside))
     placed = placed.join(ranges, F.col("source").eqNullSafe(F.col("of")) & (F.col("r") == F.col("in")))
-    placed = materialize(placed.select("id", "source", "size", "copies", "h", "source_size", "target", (F.col("upto") + F.col("ahead")).alias("upto")), "mix_placed")
-    # One entry for each time a document may be served.
+    placed = materialize(placed.select(*GROUP, "copies", "copy", "h", "source_size", "target", (F.col("upto") + F.col("ahead")).alias("upto")), "mix_placed")
+    # One entry for each time a document may be served, dealt to slots of finish time.
     served = placed.where("size > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("turn"))
     served = served.withColumn("finish", (F.col("upto") + F.col("turn") * F.col("source_size")) / F.col("target"))
     served = served.withColumn("slot", F.floor(F.least("finish", F.lit(4.0)) * n).cast("int"))
     slots = served.groupBy("slot").agg(words.alias("words"))
     earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # at most 4 n + 1 rows
-    slots = F.broadcast(slots.select("slot", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("ahead")))
-    budget = F.broadcast(narrow.agg((F.least(F.lit(float(share)), F.lit(float(max_repeats))) * words).alias("budget")))
-    by = Window.partitionBy("slot").orderBy("finish", "h", "id", "source", "turn", "size").rowsBetween(Window.unboundedPreceding, 0)
-    served = served.join(slots, "slot").crossJoin(budget).withColumn("spent", F.col("ahead") + words.over(by))  # budget: one row
-    times = served.where("spent <= budget").groupBy("id", "source", "size").agg(F.count("*").alias("times"))
+    slots = slots.select("slot", "words", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("ahead"))
+    budget = F.broadcast(entries.agg((F.least(F.lit(float(share)), F.lit(float(max_repeats))) * words).alias("budget")))
+    slots = slots.crossJoin(budget)  # one row
+    # Slots below the budget are served whole and those above it not at all; only the one where it ends is put in order.
+    whole = served.join(F.broadcast(slots.where("ahead + words <= budget").select("slot")), "slot", "left_semi")
+    cut = served.join(F.broadcast(slots.where("ahead <= budget AND ahead + words > budget").select("slot", "ahead", "budget")), "slot")
+    by = Window.partitionBy("slot").orderBy("finish", "h", "id", "source", "turn", "size", "key", "copy").rowsBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumn("spent", F.col("ahead") + words.over(by)).where("spent <= budget")
+    each = [*GROUP, "copy"]
+    times = whole.select(*each).unionByName(cut.select(*each)).groupBy(*each).agg(F.count("*").alias("times"))
     t, p = times.alias("t"), placed.alias("p")
-    entry = p.join(t, F.col("p.id").eqNullSafe(F.col("t.id")) & F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.size") == F.col("t.size")), "left").select(
-        F.col("p.id").alias("mix_id"), F.col("p.source").alias("mix_source"), F.col("p.size").alias("mix_size"), F.col("copies").alias("mix_copies"), F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"), (F.col("upto") / F.col("target")).alias("mix_finish"), F.coalesce(F.col("t.times"), F.lit(0)).cast("long").alias("mix_times"))
+    entry = p.join(t, [F.col(f"p.{c}").eqNullSafe(F.col(f"t.{c}")) for c in each], "left").select(
+        *[F.col(f"p.{c}").alias(f"mix_{c}") for c in each], F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("copies").alias("mix_copies"),
+        (F.col("upto") / F.col("target")).alias("mix_finish"), F.coalesce(F.col("t.times"), F.lit(0)).cast("long").alias("mix_times"))
     if not keep_text:
-        return entry.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).drop("mix_copies", "mix_copy")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("n"))
-    same = F.col("id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("n") == F.col("mix_size"))
-    return rows.join(entry, same).drop("id", "source", "n", "mix_id", "mix_source", "mix_copies")
+        return entry.drop("mix_key", "mix_copy", "mix_copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *own)
+    again = entry.where("mix_copies > 1 AND mix_copy = 1").select(*[F.col(f"mix_{c}").alias(f"of_{c}") for c in GROUP], "mix_copies")
+    counted = rows.join(again, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in GROUP], "left").select("row", *GROUP, F.coalesce("mix_copies", F.lit(1)).alias("copies"))
+    out = _numbered(counted).join(entry, [F.col(c).eqNullSafe(F.col(f"mix_{c}")) for c in each])
+    return out.select("row", "mix_size", "mix_source_size", "mix_target", "mix_finish", "mix_times")
 
 
 def serve(mixed: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Token ids, packed into fixed-length rows by best fit decreasing.
 
 Documents are tokenised in Arrow batches; a document longer than a row is split into pieces that together are the
-document, nothing lost. Pieces are dealt to shards by a hash of document and piece, so one long document or a group of
-copies fills many shards, and a shard holds a bounded number of bytes. A shard packs its pieces longest first, each into
+document, nothing lost. Pieces are dealt to shards by a hash of document, piece and the row's number in its task, so one long document, a group of
+copies or rows of one id fill many shards, and a shard holds a bounded number of bytes. A shard packs its pieces longest first, each into
 the fullest row that still has room for it; rows are found by their free space in a segment tree. Rows are written with
 their ids as little-endian binary, the cumulative lengths of their segments, and the places where positions restart.
 
@@ -13,12 +13,12 @@ id is carried as null; an empty table gives no rows. Other columns are not looke
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ROW_TOKENS, SHARD_BYTES = 2048, 8 << 20
-#: Words whose ids a Python worker remembers, across tasks: some 40 MB.
-WORDS_KEPT = 200_000
+#: Words whose ids a task remembers, some 10 MB; it starts with none and lets go of them when it ends.
+WORDS_KEPT = 50_000
 
 
 class Tokenizer:
@@ -60,23 +60,19 @@ class Tokenizer:
         return self._plain(first) + b"".join(out)
 
 
-@functools.lru_cache(2)
-def _tokenizer(digest: str, ranks: bytes) -> Tokenizer:
-    return Tokenizer(ranks)
-
-
 def _pieces(batches: Iterator[pa.RecordBatch], ranks: bytes, row: int, shards: int) -> Iterator[pa.RecordBatch]:
-    t = _tokenizer(hashlib.sha256(ranks).hexdigest(), ranks)
+    t, task, rows = Tokenizer(ranks), TaskContext.get().partitionId(), 0
     step = row * t.dtype.itemsize
     for batch in batches:
         ids, piece, body, shard = [], [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             data = t.encode(text or "")
+            rows += 1
             for k in range(max(1, -(-len(data) // step))):
                 ids.append(key)
                 piece.append(k)
                 body.append(data[k * step: (k + 1) * step])
-                h = hashlib.blake2b(f"{key}:{k}".encode() + body[-1][:64], digest_size=8).digest()
+                h = hashlib.blake2b(f"{key}:{k}:{task}:{rows}".encode(), digest_size=8).digest()
                 shard.append(int.from_bytes(h, "little") % shards)
         yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(ids, batch.schema.field(0).type), pa.array(piece, pa.int32()), pa.array(body, pa.binary())], ["shard", "id", "piece", "body"])
 
@@ -157,7 +153,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     width = Tokenizer(ranks).dtype.itemsize
     two = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = two.schema["id"].dataType.simpleString()
-    octets = two.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
+    octets = two.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(16))).first()[0] or 0
     shards = max(1, -(-int(octets) // shard_bytes))
     ranks_of = docs.sparkSession.sparkContext.broadcast(ranks)
     pieces = two.mapInArrow(lambda it: _pieces(it, ranks_of.value, row_tokens, shards), f"shard int, id {kind}, piece int, body binary")
