@@ -270,13 +270,16 @@ def test_large_items_alone_are_matched_best():
         assert n == least(items)
 
 
-def test_units_are_the_tokenizer():
+@pytest.mark.parametrize("chars", [1, 7, 1000])
+def test_units_are_the_tokenizer(monkeypatch, chars):
+    monkeypatch.setattr(large_items, "PART_CHARS", chars)
+    monkeypatch.setattr(large_items, "CALL_UNITS", 3)
     units = large_items.Units(open(BPE, encoding="utf-8").read())
     rng = random.Random(6)
-    texts = ["a b  c \n d\n\n e", " x", "x ", "", "  ", "it's a 'll  we'll  z <|endoftext|> q", "a\t b", "\x1f a \x1f b"]
-    texts += ["".join(rng.choice(" ab\n\t 　'l1.\x1c\x85é") for _ in range(rng.randint(0, 12))) for _ in range(3000)]
-    for s in texts:
-        assert units.gather(units.codes(s)).tolist() == units.own.encode(s, add_special_tokens=False).ids
+    texts = ["a b  c \n d\n\n e", " x", "x ", "", "  ", "it's a 'll  we'll  z <|endoftext|> q", "a\t b", "\x1f a \x1f b", "<|endoftext|>", "a <|endoftext|>b "]
+    texts += ["".join(rng.choice(" ab\n\t 　'l1.\x1c\x85é") for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    for s, ids in zip(texts, units.encode(texts), strict=True):
+        assert ids.tolist() == units.own.encode(s, add_special_tokens=False).ids
 
 
 def _whole(spark, docs, most, **more):
@@ -303,7 +306,7 @@ def _whole(spark, docs, most, **more):
 
 def test_large_item_packing_odd(spark, odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(large_items, "UNITS_KEPT", 50)
-    monkeypatch.setattr(large_items, "CHUNK_TOKENS", 1000)
+    monkeypatch.setattr(large_items, "PART_CHARS", 1000)
     rows, held = _whole(spark, odd_docs, 64)
     assert large_items.pack_large_items(no_docs, BPE).count() == 0
     monkeypatch.setattr("vigil.llm.common.BROADCAST_BYTES", 0)

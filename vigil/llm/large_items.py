@@ -34,79 +34,124 @@ from pyspark.sql import functions as F
 from .common import bounded_broadcast, materialize
 
 SEQUENCE_TOKENS = 2048
-#: Units whose ids a task remembers; it starts with none and forgets them when it ends.
-UNITS_KEPT = 100_000
-#: Tokens gathered at once.
-CHUNK_TOKENS = 1 << 20
+#: Units whose ids a task remembers, some 100 MB; it starts with none and forgets them when it ends.
+UNITS_KEPT = 500_000
+#: Characters of text that are looked at together; a longer document comes in parts.
+PART_CHARS = 1 << 20
+#: Units that one call of the tokenizer encodes, put apart by a special token.
+CALL_UNITS = 4096
+#: Marks that are no letter, number or space to the pattern; and the letters behind which they are cut off.
+PUNCTUATION, LAST_LATIN = ".,;:!?", "\u024f"
 
 
-class _Odd(Exception):
-    """A text with a blank before white space or at its end."""
-
-
-class Units(dict):
+class Units:
     """Codes of the units of texts, and the ids that each code stands for.
 
     The byte-level pattern never joins what stands before a blank with the blank and the non-space after it, so a text may
-    be encoded unit by unit. Keys are words behind a blank, without it; keys of ``whole`` are units as they are.
+    be encoded unit by unit: its first word as it is, each further word with its blank. ``behind`` has the codes of words
+    behind a blank, ``whole`` those of units as they are.
     """
 
     cut = re.compile(r"(?= \S)")
+    safe = re.compile(r" (?=\S)")
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_str(tokenizer)
+        special = {i: t.content for i, t in self.own.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
+        self.apart = min(special.items(), default=None)
+        self.forget()
+
+    def forget(self) -> None:
+        self.behind: dict[str, int] = {}
         self.whole: dict[str, int] = {}
         self.ids, self.starts = array("I"), array("q", [0])
 
-    def _encode(self, unit: str) -> int:
-        self.ids.extend(self.own.encode(unit, add_special_tokens=False).ids)
-        self.starts.append(len(self.ids))
-        return len(self.starts) - 2
-
-    def __missing__(self, word: str) -> int:
-        if not word or word[0].isspace():
-            raise _Odd
-        code = self[word] = self._encode(" " + word)
-        return code
-
-    def _unit(self, unit: str) -> int:
-        code = self.whole.get(unit)
-        if code is None:
-            code = self.whole[unit] = self._encode(unit)
-        return code
-
-    def codes(self, text: str) -> list[int]:
-        if not text:
-            return []
-        first, *rest = text.split(" ")
-        try:
-            return [self._unit(first), *map(self.__getitem__, rest)]
-        except _Odd:
-            return [self._unit(u) for u in self.cut.split(text)]
-
-    def gather(self, codes: list[int]) -> np.ndarray:
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> range:
+        """The codes of new units, whose ids follow each other in ``ids``."""
+        first, at = len(self.starts) - 1, len(self.ids)
+        self.ids.frombytes(ids.astype(np.uint32).tobytes())
+        self.starts.frombytes((at + np.cumsum(lengths)).astype(np.int64).tobytes())
+        return range(first, len(self.starts) - 1)
+
+    def _encode(self, units: list[str]) -> range:
+        if self.apart is None or any(self.apart[1] in u for u in units):
+            each = [e.ids for e in self.own.encode_batch_fast(units, add_special_tokens=False)]
+            return self._keep(np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each]))
+        [found] = self.own.encode_batch_fast([self.apart[1].join(units)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int64)
+        ends = np.append(np.flatnonzero(ids == self.apart[0]), len(ids))
+        return self._keep(ids[ids != self.apart[0]], np.diff(ends, prepend=-1) - 1)
+
+    def _learn(self, new: list[str], known: dict[str, int], blank: str) -> None:
+        for i in range(0, len(new), CALL_UNITS):
+            some = new[i: i + CALL_UNITS]
+            known.update(zip(some, self._encode([blank + u for u in some]), strict=True))
+
+    def _learn_behind(self, new: list[str]) -> None:
+        """Words are learnt without the punctuation behind their last letter, which starts a token of its own."""
+        cores = [w.rstrip(PUNCTUATION) for w in new]
+        ends = [bool(c) and len(c) < len(w) and c[-1] <= LAST_LATIN and c[-1].isalpha() for w, c in zip(new, cores, strict=True)]
+        known = self.behind
+        self._learn([w for w in {c if e else w for w, c, e in zip(new, cores, ends, strict=True)} if w not in known], known, " ")
+        tails = [w[len(c):] for w, c, e in zip(new, cores, ends, strict=True) if e]
+        self._learn([t for t in set(tails) if t not in self.whole], self.whole, "")
+        pairs = np.array([(known[c], self.whole[t]) for c, t in zip((c for c, e in zip(cores, ends, strict=True) if e), tails, strict=True)], dtype=np.int64).reshape(-1, 2)
+        at = np.frombuffer(self.starts, dtype=np.int64)
+        lengths = (at[pairs + 1] - at[pairs]).sum(axis=1)
+        del at  # the array grows next
+        known.update(zip((w for w, e in zip(new, ends, strict=True) if e), self._keep(self.gather(pairs.ravel()), lengths), strict=True))
+
+    def codes(self, parts: list[tuple[str, bool]]) -> list[list[int]]:
+        """The codes of each part of a text; the flag tells that the part starts a text."""
+        if len(self.behind) + len(self.whole) > UNITS_KEPT:
+            self.forget()
+        words = [text.split(" ") if starts else text[1:].split(" ") for text, starts in parts]
+        rest = [w[1:] if starts else w for w, (_, starts) in zip(words, parts, strict=True)]
+        new = [w for w in set().union(*rest) if w not in self.behind]
+        odd = [w for w in new if not w or w[0].isspace()]  # a blank before white space or at the end
+        self.behind.update(dict.fromkeys(odd, -1))
+        self._learn_behind([w for w in new if w not in self.behind])
+        out: list[list[int] | None] = []
+        for r in rest:
+            found = list(map(self.behind.__getitem__, r))
+            out.append(None if -1 in found else found)
+        units = [self.cut.split(text) if o is None else [w[0]] if starts else [] for o, w, (text, starts) in zip(out, words, parts, strict=True)]
+        units = [[u for u in us if u] for us in units]
+        self._learn([u for u in set().union(*units) if u not in self.whole], self.whole, "")
+        return [[self.whole[u] for u in us] + (o or []) for us, o in zip(units, out, strict=True)]
+
+    def gather(self, codes: list[int] | np.ndarray) -> np.ndarray:
         """The ids of all ``codes``, one after another."""
-        at, c = np.frombuffer(self.starts, dtype=np.int64), np.array(codes, dtype=np.int64)
+        at, c = np.frombuffer(self.starts, dtype=np.int64), np.asarray(codes, dtype=np.int64)
         ids = np.frombuffer(self.ids, dtype=np.uint32) if self.ids else np.zeros(0, np.uint32)
         n = at[c + 1] - at[c]
         return ids[np.repeat(at[c] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
-    def forget(self) -> None:
-        if len(self) + len(self.whole) > UNITS_KEPT:
-            self.clear()
-            self.whole.clear()
-            self.ids, self.starts = array("I"), array("q", [0])
-
-
-def _ids(texts: list[str | None], units: Units, end: int) -> Iterator[np.ndarray]:
-    """The ids of each text, closed by ``end``; a long text is gathered in chunks."""
-    for text in texts:
-        codes = units.codes(text or "")
-        parts = [units.gather(codes[i: i + CHUNK_TOKENS]) for i in range(0, len(codes), CHUNK_TOKENS)]
-        yield np.concatenate([*parts, np.array([end], np.uint32)])
-        units.forget()
+    def parts(self, text: str) -> Iterator[tuple[str, bool]]:
+        """Texts that may be encoded on their own and together are ``text``; each but the first starts with a blank."""
+        at = 0
+        while len(text) - at > PART_CHARS and (m := self.safe.search(text, at + PART_CHARS)):
+            yield text[at: m.start()], at == 0
+            at = m.start()
+        yield text[at:], at == 0
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        i = 0
+        while i < len(texts):
+            if len(texts[i]) > PART_CHARS:
+                yield np.concatenate([self.gather(self.codes([p])[0]) for p in self.parts(texts[i])])
+                i += 1
+                continue
+            j, n = i, 0
+            while j < len(texts) and len(texts[j]) + n <= PART_CHARS:
+                n += len(texts[j])
+                j += 1
+            for codes in self.codes([(t, True) for t in texts[i:j]]):
+                yield self.gather(codes)
+            i = j
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, most: int, end: int, width: int) -> Iterator[pa.RecordBatch]:
@@ -117,7 +162,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, most: int, end: i
             part = batch.slice(at, 512)
             at += part.num_rows
             key, piece, start, length, number, crc, body, doc = [], [], [], [], [], [], [], 0
-            for doc, ids in enumerate(_ids(part.column(1).to_pylist(), units, end)):
+            for doc, ids in enumerate(units.encode([t or "" for t in part.column(1).to_pylist()])):
+                ids = np.append(ids, np.uint32(end))
                 cuts = [0, *range(len(ids) % most or min(most, len(ids)), len(ids) + 1, most)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     own = ids[a:b]
