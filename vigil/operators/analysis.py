@@ -101,7 +101,7 @@ def quantile_cont_from_hist(hist: DataFrame, q: float, value="risk_score", n="n"
     tot = F.max("__cum")
     stats = h.agg(tot.alias("__N"))
     pos = F.lit(q) * (F.col("__N") - 1).cast("double")
-    j = h.crossJoin(stats).withColumn("__pos", pos)
+    j = h.crossJoin(F.broadcast(stats)).withColumn("__pos", pos)
     lo_i = F.floor("__pos")
     hi_i = F.ceil("__pos")
     # value at 0-based index i: smallest value whose running count > i
@@ -119,7 +119,7 @@ def decile_lift(scored: DataFrame, rule_set=R.RULES) -> DataFrame:
     hist = score_histogram(scored, names)
     q90 = quantile_cont_from_hist(hist, 0.9).withColumnRenamed("q", "q90")
     q10 = quantile_cont_from_hist(hist, 0.1).withColumnRenamed("q", "q10")
-    j = hist.crossJoin(q90).crossJoin(q10)
+    j = hist.crossJoin(F.broadcast(q90)).crossJoin(F.broadcast(q10))
     top = F.col("risk_score") >= F.col("q90")
     bot = F.col("risk_score") <= F.col("q10")
     aggs = [F.max("q90").alias("q90"), F.max("q10").alias("q10"),

@@ -45,7 +45,7 @@ def duplicates(df: DataFrame, key: str = "txn_id") -> DataFrame:
     g = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     total = df.agg(F.count(F.lit(1)).alias("__rows"))
     a = g.agg(F.count(F.lit(1)).alias("dup_ids"), F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("surplus_rows"))
-    return a.crossJoin(total).select("dup_ids", "surplus_rows",
+    return a.crossJoin(F.broadcast(total)).select("dup_ids", "surplus_rows",
                                      _pct(F.col("surplus_rows"), F.col("__rows")).alias("surplus_pct"))
 
 
@@ -89,6 +89,25 @@ def format_drift(raw: DataFrame, checks=DRIFT_CHECKS) -> DataFrame:
     return _unpivot(agg, list(checks), "pct_parse", "check")
 
 
+# The types that a typed load would ask for.
+PARSE_CHECKS = {"posting_date": "date", "txn_amount": "decimal(18,2)", "amount_local": "decimal(18,2)", "txn_datetime": "timestamp"}
+
+
+def parse_rates(raw: DataFrame, checks=PARSE_CHECKS) -> DataFrame:
+    """H6: of each column's values the share that a cast to its type accepts as it is, one scan."""
+    rate = lambda c, kind: _pct(F.count(F.col(c).try_cast(kind)), F.greatest(F.count(c), F.lit(1)))
+    return _unpivot(raw.agg(*[rate(c, kind).alias(f"__v_{c}") for c, kind in checks.items()]), list(checks), "pct_parse")
+
+
+def parse_samples(raw: DataFrame, checks=PARSE_CHECKS, top: int = 3) -> DataFrame:
+    """H6: the most frequent values of each column that the cast refuses (a report of ``top`` values). One scan; equal values
+    are counted before they move, and the ranking keeps ``top`` rows a task."""
+    every = F.array(*[F.struct(F.lit(c).alias("column_name"), F.when(F.col(c).try_cast(kind).isNull(), F.col(c)).alias("value")) for c, kind in checks.items()])
+    n = raw.select(F.explode(every).alias("x")).select("x.*").filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
+    return n.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top)
+
+
 def spellings(raw: DataFrame, columns: list[str], top: int = 6) -> DataFrame:
     """H6: distinct spellings per column and the ``top`` most frequent ones
     (ties broken by value). Counts are aggregated first, so the ranking
@@ -139,8 +158,8 @@ def fingerprint_diff(a: DataFrame, b: DataFrame, key: str = "_mirror_row_id", wi
     bkt = F.substring(F.md5(F.col(key).cast("string")), 1, width)
     # ``diff`` has at most 16 ** width rows (1,048,576 five-character
     # buckets at the default width): a proven bound for the broadcast.
-    ka = a.select(key).distinct().withColumn("bucket", bkt).join(F.broadcast(diff), "bucket", "left_semi")
-    kb = b.select(key).distinct().withColumn("bucket", bkt).join(F.broadcast(diff), "bucket", "left_semi")
+    ka = a.select(key).withColumn("bucket", bkt).join(F.broadcast(diff), "bucket", "left_semi").distinct()
+    kb = b.select(key).withColumn("bucket", bkt).join(F.broadcast(diff), "bucket", "left_semi").distinct()
     only_a = ka.join(kb, key, "left_anti").withColumn("side", F.lit("left_only"))
     only_b = kb.join(ka, key, "left_anti").withColumn("side", F.lit("right_only"))
     return only_a.unionByName(only_b).select("side", "bucket", key)
@@ -157,16 +176,18 @@ def referential(fact: DataFrame, fks: list[str]) -> DataFrame:
 
 
 def orphans(fact: DataFrame, dims: dict, fk_to_dim: dict) -> DataFrame:
-    """Fact rows whose key has no row in its dimension (left anti)."""
-    parts = []
+    """For each foreign key the fact rows whose key has no row in its dimension, how many different keys these have
+    and the least of them. One scan: all keys of a row become (fk, key) pairs, counted before they move; the distinct pairs
+    meet the keys of all dimensions in one join. A NULL key is an orphan."""
+    every = F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("long").alias("key")) for fk in fk_to_dim])
+    pairs = fact.select(F.explode(every).alias("p")).select("p.*").groupBy("fk", "key").agg(F.count(F.lit(1)).alias("rows"))
+    known = None
     for fk, (dim, dk) in fk_to_dim.items():
-        d = dims[dim].select(F.col(dk).alias(fk))
-        o = fact.select(fk).join(d, fk, "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
-        parts.append(o.select(F.lit(fk).alias("fk"), "orphan_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        d = dims[dim].select(F.lit(fk).alias("fk"), F.col(dk).cast("long").alias("key"))
+        known = d if known is None else known.unionByName(d)
+    lost = pairs.join(known, ["fk", "key"], "left_anti")
+    none = fact.sparkSession.createDataFrame([(fk, None, 0) for fk in fk_to_dim], "fk string, key long, rows long")
+    return lost.unionByName(none).groupBy("fk").agg(F.sum("rows").alias("orphan_rows"), F.count_if(F.col("rows") > 0).alias("orphan_keys"), F.min("key").alias("least_key"))
 
 
 def dedup_recon(scored: DataFrame, deduped: DataFrame, key: str = "txn_id") -> DataFrame:
@@ -176,11 +197,32 @@ def dedup_recon(scored: DataFrame, deduped: DataFrame, key: str = "txn_id") -> D
                     F.count_if(F.col(key).isNull()).alias("null_ids"))
     twice = (deduped.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c"))
              .filter("c > 1").agg(F.count(F.lit(1)).alias("ids_surviving_twice")))
-    return (s.crossJoin(d).crossJoin(twice)
+    return (s.crossJoin(F.broadcast(d)).crossJoin(F.broadcast(twice))
             .withColumn("removed", F.col("scored_rows") - F.col("deduped_rows"))
             .select("scored_rows", "deduped_rows", "removed", "distinct_ids", "null_ids", "ids_surviving_twice"))
 
 
+def survivors(deduped: DataFrame, key: str = "txn_id", sample: int = 5) -> DataFrame:
+    """H8: the first ids that survive more than once, with their rows (a report of ``sample`` ids)."""
+    g = deduped.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return g.orderBy(key).limit(sample)
+
+
+def record_run(metrics: DataFrame, path: str, run: int) -> None:
+    """Keep a run's evidence, rows of ``metric, value``; a run is written once."""
+    metrics.select("metric", F.col("value").cast("long").alias("value")).coalesce(1).write.mode("errorifexists").parquet(f"{path}/run={run:06d}")
+
+
+def compare_runs(spark, path: str) -> DataFrame:
+    """``run, metric, value, previous, moved`` for every run after the first: which metric moved, and in which run. A metric
+    that a run lacks counts 0. There is a row for each run and metric at most."""
+    kept = spark.read.schema("metric string, value long, run int").parquet(path)
+    grid = kept.select("run").distinct().crossJoin(F.broadcast(kept.select("metric").distinct()))  # names of metrics: rules and counts
+    full = grid.join(kept, ["run", "metric"], "left").withColumn("value", F.coalesce("value", F.lit(0)))
+    full = full.withColumn("previous", F.lag("value").over(Window.partitionBy("metric").orderBy("run")))
+    return full.filter(F.col("previous").isNotNull()).withColumn("moved", F.col("value") != F.col("previous")).select("run", "metric", "value", "previous", "moved")
+
+
 def compare_firings(fact_alert: DataFrame, baseline: DataFrame) -> DataFrame:
     """Per-rule firings vs a baseline (rule_id, firings); mismatches show."""
     cur = fact_alert.groupBy("rule_id").agg(F.count(F.lit(1)).alias("firings"))
@@ -204,7 +246,7 @@ def compare_counts(a: dict, b: dict) -> DataFrame:
     for name in sorted(set(a) & set(b)):
         ca = a[name].agg(F.count(F.lit(1)).alias("rows_a"))
         cb = b[name].agg(F.count(F.lit(1)).alias("rows_b"))
-        parts.append(ca.crossJoin(cb).select(F.lit(name).alias("table_name"), "rows_a", "rows_b"))
+        parts.append(ca.crossJoin(F.broadcast(cb)).select(F.lit(name).alias("table_name"), "rows_a", "rows_b"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -218,10 +260,10 @@ def locate_key(df: DataFrame, key_col: str, value) -> DataFrame:
             .groupBy("file_name").agg(F.count(F.lit(1)).alias("rows")))
 
 
-def table_stats(df: DataFrame) -> DataFrame:
-    """File count and bytes of a file-backed table (one scan of metadata columns)."""
-    f = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
-    return f.agg(F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"))
+def table_stats(spark, path: str) -> DataFrame:
+    """File count and bytes of a table's folder, from the listing; no file is opened."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path).select("path", "length")
+    return f.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
 def check_instants(df: DataFrame) -> DataFrame:

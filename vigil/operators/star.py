@@ -52,6 +52,7 @@ def dim_time(spark) -> DataFrame:
         h.between(1, 5).alias("is_odd_hour"))
 
 
+# The customer's attributes.
 CUSTOMER_ATTRS = ("first_name", "last_name", "gender", "date_of_birth", "occupation",
                   "addr_city", "addr_state", "nationality")
 
@@ -116,6 +117,7 @@ def _unknown_row(df: DataFrame, values: dict) -> DataFrame:
     return df.unionByName(spark.range(1).select(*cols))
 
 
+# The members that stand for what is not known.
 UNKNOWN_MEMBERS = {
     "dim_customer": {"customer_key": UNKNOWN_KEY, "customer_id": "UNKNOWN", "kyc_rank": 1,
                      "ever_pep": False, "ever_sanctioned": False, "risk_rank": 0, "txn_count": 0},
@@ -138,6 +140,7 @@ def with_unknown(name: str, df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------- facts
 
+# The fact's columns.
 FACT_COLUMNS = ["_mirror_row_id", "txn_id", "date_key", "time_key", "customer_key", "merchant_key",
                 "channel_key", "card_key", "txn_ts", "txn_type", "txn_status", "txn_amount",
                 "txn_currency", "amount_local", "fee_amount", "auth_approved", "risk_score",

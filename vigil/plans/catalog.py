@@ -44,6 +44,10 @@ class Catalog:
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name)
 
+    def folder(self, name: str) -> str:
+        """The folder that a stage was written to."""
+        return self.table(name).inputFiles()[0].rsplit("/", 1)[0]
+
     def raw(self) -> DataFrame:
         # The landing table is written as many files (one per shuffle
         # partition) so that every later stage scans it with full parallelism.

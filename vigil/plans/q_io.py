@@ -67,10 +67,8 @@ def q_gold_export(c):
 @register("link_table", O.sql("SELECT count(*) AS rows FROM dim_customer", "dim_customer"))
 def q_link_table(c):
     """A named pointer to existing files (no copy)."""
-    path = _scratch(c.spark, "link")
-    c.table("dim_customer").write.mode("overwrite").parquet(path)
     name = "vigil_link_" + uuid.uuid4().hex[:8]
-    return tables.link_table(c.spark, name, path).agg(F.count(F.lit(1)).alias("rows"))
+    return tables.link_table(c.spark, name, c.folder("dim_customer")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("sample_fraction", None)

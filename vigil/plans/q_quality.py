@@ -135,7 +135,7 @@ def q_ref_integrity(c):
 
 
 @register("orphans", O.sql(" UNION ALL ".join(
-    f"SELECT '{k}' AS fk, count(*) AS orphan_rows FROM fact_transaction f "
+    f"SELECT '{k}' AS fk, count(*) AS orphan_rows, count(DISTINCT {k}) AS orphan_keys, CAST(min({k}) AS BIGINT) AS least_key FROM fact_transaction f "
     f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{dk} = f.{k})" for k, (d, dk) in FK_DIMS.items()),
     "fact_transaction", *[d for d, _ in FK_DIMS.values()]))
 def q_orphans(c):
@@ -156,7 +156,7 @@ def q_dedup_recon(c):
 
 @register("compare_firings", O.sql(" UNION ALL ".join(
     f"SELECT '{r.rule_id}' AS rule_id, (SELECT count(*) FROM fact_alert WHERE rule_id = '{r.rule_id}') AS firings, "
-    f"count(*) AS baseline, TRUE AS matches FROM deduped WHERE {r.name} HAVING count(*) > 0"
+    f"count(*) AS baseline, (SELECT count(*) FROM fact_alert WHERE rule_id = '" + r.rule_id + f"') = count(*) AS matches FROM deduped WHERE {r.name} HAVING count(*) > 0"
     for r in R.RULES), "fact_alert", "deduped"))
 def q_compare_firings(c):
     return Q.compare_firings(c.table("fact_alert"), Q.flag_baseline(c.deduped(), R.RULES))
@@ -189,7 +189,7 @@ def q_locate_key(c):
 
 @register("table_stats", None)
 def q_table_stats(c):
-    return Q.table_stats(c.table("fact_transaction"))
+    return Q.table_stats(c.spark, c.folder("fact_transaction"))
 
 
 @register("acceptance", None)
@@ -224,7 +224,7 @@ _GOLD = ["fact_transaction", "fact_alert", "dim_customer", "dim_merchant", "dim_
 
 
 @register("compare_counts", O.sql(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS rows_a, count(*) AS rows_b, TRUE AS equal FROM {t}"
+    f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows_a, count(*) AS rows_b, (SELECT count(*) FROM {t}) = count(*) AS equal FROM {t}"
     for t in _GOLD), *_GOLD))
 def q_compare_counts(c):
     """Gold counts equal between the built layer and its exported copy."""

@@ -4,6 +4,7 @@ publish-with-marker, evidence JSON."""
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,32 +79,62 @@ def _fs(spark, path: str):
 def _versions(spark, path: str) -> list[int]:
     """Published versions, oldest first: the names of the pointer files."""
     fs, p = _fs(spark, f"{path}/_published")
-    return sorted(int(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit()) if fs.exists(p) else []
 
 
-def publish(df: DataFrame, path: str, key_columns: list[str]) -> int:
-    """Write a new version beside the old ones, then arm it by creating its pointer, which holds the key columns.
-    A write that fails leaves the last version as it was. Returns the version."""
-    spark = df.sparkSession
+def _pointer(spark, path: str, version: int) -> dict:
+    fs, p = _fs(spark, f"{path}/_published/{version:020d}")
+    stream = fs.open(p)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def publish_set(tables: dict[str, DataFrame], path: str, key_columns: dict[str, list[str]] | None = None) -> int:
+    """Write a version of several tables and arm them together: each into a folder of its own under a name no other writer
+    has, then one pointer that names all folders. If any of them fails, readers stay on the last version. Of two writers
+    of the same version, the one whose pointer comes first wins; the other gets an error and disturbs nothing."""
+    if not tables:
+        raise ValueError("no tables to publish")
+    spark = next(iter(tables.values())).sparkSession
     version = (_versions(spark, path) or [-1])[-1] + 1
-    data = f"{path}/version={version:020d}"
-    df.write.mode("overwrite").parquet(data)  # only an unarmed rest of a failed write can be there
-    fs, done = _fs(spark, f"{data}/_SUCCESS")
-    if not fs.exists(done):
-        raise RuntimeError(f"{data} was not committed")
-    fs, pointer = _fs(spark, f"{path}/_published/{version:020d}")
-    out = fs.create(pointer, False)
-    out.write(bytearray(json.dumps({"keyColumns": key_columns}).encode()))
+    build, entries = uuid.uuid4().hex[:12], {}
+    for name, df in tables.items():
+        folder = f"build={build}/{name}"
+        df.write.option("compression", "zstd").parquet(f"{path}/{folder}")
+        fs, done = _fs(spark, f"{path}/{folder}/_SUCCESS")
+        if not fs.exists(done):
+            raise RuntimeError(f"{path}/{folder} was not committed")
+        entries[name] = {"folder": folder, "keyColumns": (key_columns or {}).get(name, []), "schema": df.schema.jsonValue()}
+    fs, tmp = _fs(spark, f"{path}/_published/_{build}")
+    out = fs.create(tmp, False)
+    out.write(bytearray(json.dumps({"version": version, "tables": entries}).encode()))
     out.close()
+    _, pointer = _fs(spark, f"{path}/_published/{version:020d}")
+    if fs.exists(pointer) or not fs.rename(tmp, pointer):  # a rename replaces nothing
+        fs.delete(tmp, False)
+        raise RuntimeError(f"version {version} of {path} has been published by another writer")
     return version
 
 
-def read_published(spark, path: str) -> DataFrame:
-    """The last armed version."""
+def read_set(spark, path: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables of the last armed version, or of an older one."""
     versions = _versions(spark, path)
     if not versions:
         raise RuntimeError(f"{path} is not armed")
-    return spark.read.parquet(f"{path}/version={versions[-1]:020d}")
+    entries = _pointer(spark, path, versions[-1] if version is None else version)["tables"]
+    return {name: spark.read.schema(T.StructType.fromJson(e["schema"])).parquet(f"{path}/{e['folder']}") for name, e in entries.items()}
+
+
+def publish(df: DataFrame, path: str, key_columns: list[str]) -> int:
+    """``publish_set`` of one table. Returns the version."""
+    return publish_set({"table": df}, path, {"table": key_columns})
+
+
+def read_published(spark, path: str) -> DataFrame:
+    """The last armed version."""
+    return read_set(spark, path)["table"]
 
 
 def write_evidence(metrics: DataFrame, path: str) -> None:
