@@ -271,17 +271,29 @@ def test_large_items_alone_are_matched_best():
 
 
 @pytest.mark.parametrize("chars", [1, 7, 1000])
-def test_units_are_the_tokenizer(monkeypatch, chars):
+def test_units_are_the_tokenizer(spark, monkeypatch, chars):
     monkeypatch.setattr(large_items, "PART_CHARS", chars)
     monkeypatch.setattr(large_items, "CALL_UNITS", 3)
-    units = large_items.Units(open(BPE, encoding="utf-8").read())
+    text = open(BPE, encoding="utf-8").read()
+    units = large_items.Units(text, large_items.byte_ranks(text))
+    assert units.by_rank is not None
     rng = random.Random(6)
-    texts = ["a b  c \n d\n\n e", " x", "x ", "", "  ", "it's a 'll  we'll  z <|endoftext|> q", "a\t b", "\x1f a \x1f b", "<|endoftext|>", "a <|endoftext|>b "]
+    texts = ["a b  c \n d\n\n e", " x", "x ", "", "  ", "it's a 'll  we'll  z <|endoftext|> q", "a\t b", "\x1f a \x1f b", "<|endoftext|>", "a <|endoftext|>b ", "\x00\x00apart\x00\x00 x", "日本 語 ab ñandú, añil.", "e\u0301 x\u0301"]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     texts += ["".join(rng.choice(" ab\n\t 　'l1.\x1c\x85é") for _ in range(rng.randint(0, 12))) for _ in range(3000)]
     for s, ids in zip(texts, units.encode(texts), strict=True):
         assert ids.tolist() == units.own.encode(s, add_special_tokens=False).ids
 
 
+def test_ranks_only_where_they_are_the_merges():
+    import json
+    t = json.loads(open(BPE, encoding="utf-8").read())
+    assert len(large_items.byte_ranks(json.dumps(t))) == 50_256
+    t["model"]["merges"][5], t["model"]["merges"][6] = t["model"]["merges"][6], t["model"]["merges"][5]
+    assert large_items.byte_ranks(json.dumps(t)) is None
+    assert large_items.byte_ranks(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()) is None
+
+
 def _whole(spark, docs, most, **more):
     """Places checked against the tokenizer, and the rows."""
     own = Tokenizer.from_file(BPE)
