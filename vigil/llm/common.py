@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import vigil
-from vigil.session import scratch_path
+from vigil.session import scratch_path, ship  # noqa: F401
 
 #: Largest side that an explicit broadcast may have, in bytes as estimated by its caller.
 BROADCAST_BYTES = 32 << 20
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python, once an application: they need not have it installed."""
-    sc = spark.sparkContext
-    if getattr(sc, "_vigil_shipped", False):
-        return
-    root = Path(vigil.__file__).resolve().parent
-    path = Path(tempfile.mkdtemp(prefix="vigil-ship-")) / "vigil.zip"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(path))
-    sc._vigil_shipped = True
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the cluster's checkpoint folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -1,7 +1,5 @@
 """DuckDB SQL for the queries that SQL can express, written from the definitions, not from the operators."""
 
-from . import secrets
-
 ORACLE: dict[str, str] = {}
 
 UP, LO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,12 +75,16 @@ def _find(kind: int, pattern: str, group: int, test: str) -> str:
   FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {group}) AS vs, string_split_regex(t, '{pattern}') AS gaps FROM d)) WHERE {test}"""
 
 
-_RANDOM = "SELECT v, 1 AS random FROM base UNION ALL SELECT v, 0 FROM runs WHERE regexp_matches(v, '" + secrets.ORDINARY + "')"
+# What counts as a secret by its form, a run that may be one, an ordinary identifier, and the margins of the ratio.
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_ACCESS, _HEX, _RUN = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/=_-]{16,}"
+_ORDINARY = "^([A-Z]?[a-z]+|[A-Z]+)([_-]([A-Z]?[a-z]+|[A-Z]+))*$"
+_RANDOM = "SELECT v, 1 AS random FROM base UNION ALL SELECT v, 0 FROM runs WHERE regexp_matches(v, '" + _ORDINARY + "')"
 _PAIR = "(ascii(v[i]) * 128 + ascii(v[i + 1]))"
 ORACLE["op6_secrets"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-base AS MATERIALIZED ({_find(0, secrets.ASSIGN, 2, "len(v) >= 12")} UNION ALL {_find(1, secrets.ACCESS, 0, "true")} UNION ALL {_find(2, secrets.HEX, 0, "true")}),
-cand AS ({_find(3, secrets.RUN, 0, "true")}),
+base AS MATERIALIZED ({_find(0, _ASSIGN, 2, "len(v) >= 12")} UNION ALL {_find(1, _ACCESS, 0, "true")} UNION ALL {_find(2, _HEX, 0, "true")}),
+cand AS ({_find(3, _RUN, 0, "true")}),
 runs AS MATERIALIZED (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)),
 pairs AS (SELECT {_PAIR} AS code, random FROM (SELECT v, random, unnest(range(1, len(v))) AS i FROM ({_RANDOM}))),
 grid AS (SELECT g.code, g.code // 128 AS a, g.code % 128 AS b, coalesce(sum(random), 0) AS r, coalesce(sum(1 - random), 0) AS o
@@ -90,7 +92,7 @@ grid AS (SELECT g.code, g.code // 128 AS a, g.code % 128 AS b, coalesce(sum(rand
 model AS (SELECT code, ln((r + 16.0::DOUBLE * (sum(r) OVER (PARTITION BY b) + 1) / (sum(r) OVER () + 64)) / (sum(r) OVER (PARTITION BY a) + 16.0::DOUBLE))
                       - ln((o + 16.0::DOUBLE * (sum(o) OVER (PARTITION BY b) + 1) / (sum(o) OVER () + 64)) / (sum(o) OVER (PARTITION BY a) + 16.0::DOUBLE)) AS v FROM grid),
 scored AS (SELECT doc_id, start, stop, len(x.v) AS n, sum(model.v) AS s FROM (SELECT *, {_PAIR} AS code FROM (SELECT *, unnest(range(1, len(v))) AS i FROM runs)) x JOIN model USING (code) GROUP BY doc_id, start, stop, n),
-al AS (SELECT doc_id, k, start, stop FROM base UNION ALL SELECT doc_id, 3, start, stop FROM scored WHERE s >= greatest({secrets.MARGIN}, {secrets.MARKOV_MARGIN_PER_CHAR} * n)),
+al AS (SELECT doc_id, k, start, stop FROM base UNION ALL SELECT doc_id, 3, start, stop FROM scored WHERE s >= greatest(8.0, 0.25 * n)),
 w AS (SELECT *, (['assign', 'access', 'hex', 'markov'])[k + 1] || ':' || start || ':' || stop AS s FROM al),
 g AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
              coalesce(string_agg(s, ',' ORDER BY start, k) FILTER (k < 3), '') AS base, string_agg(s, ',' ORDER BY start, k) AS spans FROM w GROUP BY doc_id)

@@ -8,7 +8,7 @@ spread of its word vectors. The network (tanh layer, then a logistic unit) learn
 the first in order of a hash of their id, and a fifth of these sets the temperature of its probabilities.
 
 Only the text is an input of a score. Defined results: null or empty texts have all-zero features and a score like
-any other; repeated rows score alike; with no labelled rows, or one class only, all scores are the (smoothed) share of
+any other; repeated rows score alike, and an id teaches once; with no labelled rows, or one class only, all scores are the (smoothed) share of
 label 1; labels without a document, and null labels, teach nothing. Other columns are not looked at.
 """
 
@@ -173,10 +173,12 @@ def _scores(batches: Iterator[pa.RecordBatch], at: int, keep: int, vectors, weig
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, sample: int) -> DataFrame:
-    """``y, text``: at most ``sample`` labelled rows outside the held-out fold, first by a hash of the id."""
+    """``id, y, text``: at most ``sample`` labelled ids outside the held-out fold, first by a hash of the id. Of several labels
+    of an id the greatest counts, of several texts the least in order of characters, so reruns learn from the same rows."""
     rows = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold(F.col(id_col)) != 0)).groupBy(F.col(id_col).alias("of")).agg(F.max(label).cast("double").alias("y"))
     rows = F.broadcast(rows.orderBy(F.xxhash64(F.lit(SEED), "of"), "of").limit(sample))  # at most ``sample`` rows of two numbers
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(rows, F.col("id") == F.col("of")).select("id", "y", "text")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text")).join(rows, F.col("id") == F.col("of")).groupBy("id").agg(F.first("y").alias("y"), F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE):
@@ -184,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     shared = docs.sparkSession.sparkContext.broadcast((vectors, weights))
     chosen = labelled(docs, labels, label, id_col, text_col, sample)
     kind = chosen.schema["id"].dataType.simpleString()
-    rows = chosen.mapInArrow(lambda it: _features(it, *shared.value), f"id {kind}, y double, x array<float>").dropDuplicates(["id"]).toPandas()
+    rows = chosen.mapInArrow(lambda it: _features(it, *shared.value), f"id {kind}, y double, x array<float>").toPandas()
     x = np.array(rows["x"].tolist(), np.float32).reshape(-1, 2 * DIM)
     y = rows["y"].to_numpy(float)
     order = np.lexsort((*x.T, y))  # in a fixed order, however the rows came

@@ -5,12 +5,12 @@ counts in how many toxic and clean documents each occurs; the ``FEATURES`` with
 
 The chain predicts its categories one after the other: ``explicit`` (toxic by terms that the labels show to be toxic by
 themselves), ``implicit`` (toxic without such terms), and ``toxic`` itself. Each model is a logistic regression over the
-features and the logits of all categories before it; for training these come from models that did not see the row
-(out of fold), as on new documents. Further label columns can be put into the chain.
+features and the probabilities of all categories before it; for training these come from models that did not see the
+row (out of fold), as on new documents. Further label columns can be put into the chain.
 
 Models learn on at most ``SAMPLE`` labelled rows, the first by a hash of their id, outside the held-out fold. All
 documents are scored whole. Defined results: null or empty texts score by the intercepts; without labels, or with one
-class only, scores are the smoothed share of toxic rows; repeated rows score alike; other columns are not looked at.
+class only, scores are the smoothed share of toxic rows; repeated rows score alike, and an id teaches once; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, rounds: int = 30
 
 
 class Chain:
-    """Linear models, each given the logits of those before it."""
+    """Linear models, each given the probabilities of those before it."""
 
     def __init__(self, x: np.ndarray, labels: list[np.ndarray], folds: int = FOLDS):
         of = np.random.default_rng(5).permutation(len(x)) % folds
@@ -90,19 +90,18 @@ class Chain:
             unseen = np.zeros((len(x), 1), np.float32)
             for k in range(folds):
                 if (of == k).any():
-                    unseen[of == k, 0] = self.logit(logistic(x[of != k], y[of != k]), x[of == k])
+                    unseen[of == k, 0] = self.probability(logistic(x[of != k], y[of != k]), x[of == k])
             x = np.concatenate((x, unseen), 1)
 
     @staticmethod
-    def logit(w: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return np.clip(x @ w[:-1] + w[-1], -12, 12)
+    def probability(w: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30).astype(float)))
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         out = []
         for w in self.models:
-            z = self.logit(w, x)
-            out.append(1 / (1 + np.exp(-z.astype(float))))
-            x = np.concatenate((x, z[:, None].astype(np.float32)), 1)
+            out.append(self.probability(w, x))
+            x = np.concatenate((x, out[-1][:, None].astype(np.float32)), 1)
         return np.array(out).T
 
 
@@ -150,7 +149,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     place = {int(h): i for i, h in enumerate(find.sorted.view(np.int64).tolist())}
     plain = np.array(sorted(place[r["h"]] for r in best if r["t"] > 9 * r["c"] and r["t"] >= 10), dtype=np.int64)
     kind = chosen.schema["id"].dataType
-    rows = chosen.mapInArrow(lambda it: _counts(it, find), T.StructType([T.StructField("id", kind), T.StructField("y", T.DoubleType()), T.StructField("f", T.ArrayType(T.LongType())), T.StructField("v", T.ArrayType(T.DoubleType()))])).dropDuplicates(["id"]).orderBy("id").toPandas()
+    rows = chosen.mapInArrow(lambda it: _counts(it, find), T.StructType([T.StructField("id", kind), T.StructField("y", T.DoubleType()), T.StructField("f", T.ArrayType(T.LongType())), T.StructField("v", T.ArrayType(T.DoubleType()))])).orderBy("id").toPandas()
     x, y = _dense(list(zip(rows["f"], rows["v"], strict=True)), len(find.sorted)), rows["y"].to_numpy(float)
     by_terms = (x[:, plain] > 0).any(1) if len(plain) else np.zeros(len(x), dtype=bool)
     chain = Chain(x, [y * by_terms, y * ~by_terms, y])
