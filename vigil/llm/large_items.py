@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ class Units:
     def forget(self) -> None:
         self.behind: dict[str, int] = {}
         self.whole: dict[str, int] = {}
-        self.ids, self.starts = array("I"), array("q", [0])
+        self.ids, self.starts = array("I"), array("q", [0, 0])  # code 0 stands for nothing
 
     def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> range:
         """The codes of new units, whose ids follow each other in ``ids``."""
@@ -135,57 +136,71 @@ class Units:
         at = np.frombuffer(self.starts, dtype=np.int64)
         lengths = (at[pairs + 1] - at[pairs]).sum(axis=1)
         del at  # the array grows next
-        known.update(zip((w for w, e in zip(new, ends, strict=True) if e), self._keep(self.gather(pairs.ravel()), lengths), strict=True))
+        known.update(zip((w for w, e in zip(new, ends, strict=True) if e), self._keep(self._gather(pairs.ravel())[0], lengths), strict=True))
+
+    def _behind(self, words: list[str]) -> np.ndarray:
+        """The codes of words behind a blank; -1 for what starts with white space or is empty: its text is odd."""
+        found = list(map(self.behind.get, words))
+        if None in found:
+            new = [w for w, c in zip(words, found, strict=True) if c is None]
+            odd = {w for w in new if not w or w[0].isspace()}
+            self._learn_behind([w for w in new if w not in odd])
+            self.behind.update(dict.fromkeys(odd, -1))
+            found = [self.behind[w] if c is None else c for w, c in zip(words, found, strict=True)]
+        return np.array(found, dtype=np.int64)
+
+    def _whole(self, units: list[str]) -> list[int]:
+        """The codes of units as they are; the empty one is 0."""
+        self._learn(sorted({u for u in units if u and u not in self.whole}), self.whole, "")
+        return [self.whole[u] if u else 0 for u in units]
+
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``codes``, one after another, and how many each has."""
+        at = np.frombuffer(self.starts, dtype=np.int64)
+        ids = np.frombuffer(self.ids, dtype=np.uint32) if self.ids else np.zeros(0, np.uint32)
+        n = at[codes + 1] - at[codes]
+        return ids[np.repeat(at[codes] - np.cumsum(n) + n, n) + np.arange(n.sum())], n
 
-    def codes(self, parts: list[tuple[str, bool]]) -> list[list[int]]:
-        """The codes of each part of a text; the flag tells that the part starts a text."""
+    def _chunk(self, texts: list[str], starts: bool = True) -> list[np.ndarray]:
+        """The ids of each text; unless it ``starts``, its first word is behind a blank that has been left out."""
         if len(self.behind) + len(self.whole) > UNITS_KEPT:
             self.forget()
-        words = [text.split(" ") if starts else text[1:].split(" ") for text, starts in parts]
-        rest = [w[1:] if starts else w for w, (_, starts) in zip(words, parts, strict=True)]
-        found = [list(map(self.behind.get, r)) for r in rest]
-        new = {w for r, f in zip(rest, found, strict=True) if None in f for w, c in zip(r, f, strict=True) if c is None}
-        odd = [w for w in new if not w or w[0].isspace()]  # a blank before white space or at the end
-        self._learn_behind(sorted(new.difference(odd)))
-        self.behind.update(dict.fromkeys(odd, -1))
-        for k, (r, f) in enumerate(zip(rest, found, strict=True)):
-            if None in f:
-                found[k] = [self.behind[w] if c is None else c for w, c in zip(r, f, strict=True)]
-        known = [None if -1 in f else f for f in found]
-        units = [self.cut.split(text) if f is None else [w[0]] if starts else [] for f, w, (text, starts) in zip(known, words, parts, strict=True)]
-        units = [[u for u in us if u] for us in units]
-        self._learn(sorted({u for us in units for u in us if u not in self.whole}), self.whole, "")
-        return [[self.whole[u] for u in us] + (f or []) for us, f in zip(units, known, strict=True)]
-
-    def gather(self, codes: list[int] | np.ndarray) -> np.ndarray:
-        """The ids of all ``codes``, one after another."""
-        at, c = np.frombuffer(self.starts, dtype=np.int64), np.asarray(codes, dtype=np.int64)
-        ids = np.frombuffer(self.ids, dtype=np.uint32) if self.ids else np.zeros(0, np.uint32)
-        n = at[c + 1] - at[c]
-        return ids[np.repeat(at[c] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-
-    def parts(self, text: str) -> Iterator[tuple[str, bool]]:
-        """Texts that may be encoded on their own and together are ``text``; each but the first starts with a blank."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words, edge = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
+        place, different = words.indices.to_numpy(), words.dictionary.to_pylist()
+        codes = self._behind(different)[place]
+        if starts:
+            codes[edge[:-1]] = self._whole([different[i] for i in place[edge[:-1]].tolist()])
+        odd = np.unique(np.searchsorted(edge, np.flatnonzero(codes < 0), "right") - 1).tolist()
+        ids, n = self._gather(np.maximum(codes, 0))
+        at = np.concatenate(([0], np.cumsum(n)))[edge].tolist()
+        out = [ids[a:b] for a, b in zip(at, at[1:], strict=False)]
+        for i in odd:
+            units = self.cut.split(texts[i] if starts else " " + texts[i])
+            out[i] = self._gather(np.array(self._whole(units), dtype=np.int64))[0]
+        return out
+
+    def _parts(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a long text by parts that end before a blank and a non-space."""
         at = 0
         while len(text) - at > PART_CHARS and (m := self.safe.search(text, at + PART_CHARS)):
-            yield text[at: m.start()], at == 0
+            yield self._chunk([text[at + (at > 0): m.start()]], at == 0)[0]
             at = m.start()
-        yield text[at:], at == 0
+        yield self._chunk([text[at + (at > 0):]], at == 0)[0]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
         i = 0
         while i < len(texts):
             if len(texts[i]) > PART_CHARS:
-                yield np.concatenate([self.gather(self.codes([p])[0]) for p in self.parts(texts[i])])
+                yield np.concatenate(list(self._parts(texts[i])))
                 i += 1
                 continue
             j, n = i, 0
             while j < len(texts) and len(texts[j]) + n <= PART_CHARS:
                 n += len(texts[j])
                 j += 1
-            for codes in self.codes([(t, True) for t in texts[i:j]]):
-                yield self.gather(codes)
+            yield from self._chunk(texts[i:j])
             i = j
 
 
