@@ -31,6 +31,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods beyond 8,000 bytes: projections that wide go without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
