@@ -124,8 +124,8 @@ def q_cofiring(c):
     return A.cofiring(c.table("fact_transaction"))
 
 
-# The outcome that the table itself gives: the issuer declined.
-O.extra("labelled", ["fact_transaction"], "SELECT risk_score, coalesce(NOT auth_approved, FALSE) AS is_fraud FROM fact_transaction")
+# The outcome that the table itself gives: the issuer declined. Rule R09 reads it too, so its weight is left out of the score.
+O.extra("labelled", ["fact_transaction"], "SELECT risk_score - CASE WHEN auth_approved = FALSE THEN 10 ELSE 0 END AS risk_score, coalesce(NOT auth_approved, FALSE) AS is_fraud FROM fact_transaction")
 
 
 _THR = ", ".join(f"({t})" for t in A.THRESHOLDS)
@@ -145,4 +145,6 @@ SELECT CAST(thr AS BIGINT) AS thr, alerts, round(100.0 * CAST(alerts AS DOUBLE)
            count(*) FILTER (WHERE risk_score < t.thr AND is_fraud) AS fn
     FROM labelled, (VALUES {_THR}) AS t(thr) GROUP BY t.thr))""", "labelled"))
 def q_threshold_tradeoff(c):
-    return A.threshold_tradeoff(c.table("fact_transaction").withColumn("declined", ~F.col("auth_approved")), "declined")
+    weight = next(r.weight for r in R.RULES if r.name == "declined")
+    facts = c.table("fact_transaction").withColumn("declined", F.coalesce(~F.col("auth_approved"), F.lit(False)))
+    return A.threshold_tradeoff(facts.withColumn("risk_score", F.col("risk_score") - F.when(F.col("declined"), weight).otherwise(0)), "declined")

@@ -137,6 +137,24 @@ def q_cdc_multiline(c):
     return cdc.coerce(cdc.decode(rec), o.schema).select(KEY, "o_orderpriority")
 
 
+_FULL = "count(*) FILTER (WHERE c IN (0, 2, 3, 7, 8)) + 2 * count(*) FILTER (WHERE c = 4)"
+_SEEN_COLS = {"o_orderkey": ("bigint", f"{_FULL} + count(*) FILTER (WHERE c IN (1, 3, 8)) + 2 * count(*) FILTER (WHERE c = 9)", None),
+              "o_custkey": ("bigint", f"{_FULL} + count(*) FILTER (WHERE c = 9)", "type"),
+              "o_orderstatus": ("character varying", f"{_FULL} + 2 * count(*) FILTER (WHERE c = 9)", None),
+              "o_totalprice": ("double precision", _FULL, None),
+              "o_orderdate": ("timestamp without time zone", f"{_FULL} + count(*) FILTER (WHERE c = 9)", None),
+              "o_orderpriority": ("character varying", f"{_FULL} + count(*) FILTER (WHERE c = 9)", "extra")}
+
+
+@register("cdc_feed_columns", O.sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, '{t}' AS declared, {k} AS changes, " + (f"'{i}'" if i else "CAST(NULL AS VARCHAR)") + " AS issue FROM (SELECT o_orderkey % 10 AS c FROM orders)"
+    for n, (t, k, i) in _SEEN_COLS.items()) + " UNION ALL SELECT 'o_comment', NULL, 0, 'missing'"))
+def q_cdc_feed_columns(c):
+    """What the lines declare, against an expectation with a wrong type, a column too few and one too many."""
+    want = {n: t for n, (t, _, i) in _SEEN_COLS.items() if i is None} | {"o_custkey": "integer", "o_comment": "text"}
+    return cdc.feed_columns(cdc.decode(_lines(c)).filter("schema_name = 'public' AND table_name = 'orders'"), want)
+
+
 @register("cdc_schema_check", None)
 def q_cdc_schema_check(c):
     return cdc.check_schema(_target(c), _typed(c).drop("seq", "op").schema, c.spark)

@@ -106,7 +106,7 @@ def q_load_log(c):
             ingest.load_files(c.spark, f"{base}/landing/part=*", f"{base}/table", f"{base}/ckpt", schema, "csv", ingest.csv_options()).awaitTermination()
     log = ingest.load_log(c.spark, f"{base}/table")
     return log.groupBy(F.regexp_extract("file", "part=([0-9])", 1).cast("long").alias("part")).agg(
-        F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.min(F.col("loaded_at").isNotNull()).alias("timed"))
+        F.sum("rows").alias("rows"), F.sum("keys").cast("long").alias("keys"), F.min(F.col("loaded_at").isNotNull()).alias("timed"))
 
 
 @register("probe_rows", O.sql(f"""

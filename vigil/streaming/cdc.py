@@ -200,11 +200,12 @@ def good_keys(typed: DataFrame, key: str) -> DataFrame:
 def check_schema(expected: T.StructType, actual: T.StructType, spark) -> DataFrame:
     """Change-file preflight: missing, extra, type mismatch, order (metadata only)."""
     exp = {f.name: f.dataType.simpleString() for f in expected.fields}
-    act = {f.name: f.dataType.simpleString() for f in actual.fields if f.name != ROW_MARKER}
+    own = (ROW_MARKER, UNCHANGED_COL)
+    act = {f.name: f.dataType.simpleString() for f in actual.fields if f.name not in own}
     rows = [("missing", n, exp[n], None) for n in exp if n not in act]
     rows += [("extra", n, None, act[n]) for n in act if n not in exp]
     rows += [("type", n, exp[n], act[n]) for n in exp if n in act and exp[n] != act[n]]
-    order_a = [f.name for f in actual.fields if f.name != ROW_MARKER]
+    order_a = [f.name for f in actual.fields if f.name not in own]
     if [n for n in order_a if n in exp] != [n for n in exp if n in act]:
         rows.append(("order", None, None, None))
     if actual.fields and actual.fields[-1].name != ROW_MARKER:
@@ -212,6 +213,17 @@ def check_schema(expected: T.StructType, actual: T.StructType, spark) -> DataFra
     return spark.createDataFrame(rows, "issue string, column_name string, expected string, actual string")
 
 
+def feed_columns(decoded: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """The columns and types that a feed's lines declare, against ``expected`` (declared type by name): ``column_name,
+    declared, changes`` (that name the column so) and ``issue``: ``extra``, ``type``, ``missing`` or NULL. Counted before
+    anything moves: a row for each name and type."""
+    seen = decoded.select(F.explode("field_types").alias("column_name", "declared")).groupBy("column_name", "declared").agg(F.count(F.lit(1)).alias("changes"))
+    want = F.broadcast(decoded.sparkSession.createDataFrame(list(expected.items()), "__name string, __type string"))  # a row a column
+    both = seen.join(want, F.col("column_name") == F.col("__name"), "full_outer")
+    issue = (F.when(F.col("column_name").isNull(), "missing").when(F.col("__name").isNull(), "extra").when(F.col("declared") != F.col("__type"), "type"))
+    return both.select(F.coalesce("column_name", "__name").alias("column_name"), "declared", F.coalesce("changes", F.lit(0)).alias("changes"), issue.alias("issue"))
+
+
 def seed(df: DataFrame) -> DataFrame:
     """A snapshot without markers: every row is an insert."""
     return df.withColumn(ROW_MARKER, F.lit("0"))
