@@ -106,7 +106,7 @@ class Names:
                 active, size, first = active[by], size[by], _spread(_starts(first[by]))
                 rank = len(active) + np.arange(n)
                 rank[active] = first
-            self.names.append(rank.copy())
+            self.names.append(rank.astype(np.int32 if 2 * n < 1 << 31 else np.int64))
             if level >= BASE:
                 self.shared[level] = (active, first, first + size)
             if not len(active):
