@@ -10,7 +10,10 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["silver", "win_skew_split", "scored", "dedup", "dim_customer", "dim_channel", "fact_transaction",
         "fact_alert", "fire_rates", "decile_lift", "threshold_tradeoff", "m_approval_rate",
         "m_firings_per_txn_by_rule", "m_high_risk_by_band", "cube_overview", "mess_rates", "fingerprint_diff",
-        "cdc_apply", "cdc_decode", "csv_roundtrip"]
+        "cdc_apply", "cdc_decode", "csv_roundtrip", "cdc_compact_buckets", "cdc_batch_gap", "cdc_mirror_as_of",
+        "cdc_validity", "cdc_feed_columns", "orphans_planted", "run_ledger", "star_published", "cubes_one_scan",
+        "rollup_month_band", "kpi_headline_sen", "band_replaced", "parse_rates", "stream_velocity_append",
+        "stream_new_merchant", "stream_dedup_watermark", "load_log"]
 
 
 def _norm(rows, names):
