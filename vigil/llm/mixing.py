@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, text_key
+from .common import bounded_broadcast, materialize, partitions, text_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -126,9 +126,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     if not keep_text:
         return entry.drop("mix_key", "mix_copy", "mix_copies")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *own)
-    again = entry.where("mix_copies > 1 AND mix_copy = 1").select(*[F.col(f"mix_{c}").alias(f"of_{c}") for c in GROUP], "mix_copies")
-    counted = rows.join(again, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in GROUP], "left").select("row", *GROUP, F.coalesce("mix_copies", F.lit(1)).alias("copies"))
-    out = _numbered(counted).join(entry, [F.col(c).eqNullSafe(F.col(f"mix_{c}")) for c in each])
+    again = placed.where("copies > 1 AND copy = 1").select(*[F.col(c).alias(f"of_{c}") for c in GROUP], "copies")
+    repeated = again.count()
+    counted = rows.withColumn("copies", F.lit(1))
+    if repeated:
+        again = bounded_broadcast(again, repeated, 128)
+        counted = rows.join(again, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in GROUP], "left").select("row", *GROUP, F.coalesce(again["copies"], F.lit(1)).alias("copies"))
+        counted = _numbered(counted)
+    else:
+        counted = counted.withColumn("copy", F.lit(1))
+    out = counted.join(entry, [F.col(c).eqNullSafe(F.col(f"mix_{c}")) for c in each])
     return out.select("row", "mix_size", "mix_source_size", "mix_target", "mix_finish", "mix_times")
 
 
