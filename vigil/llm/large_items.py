@@ -107,22 +107,30 @@ class Units:
         self.starts.frombytes((at + np.cumsum(lengths)).astype(np.int64).tobytes())
         return range(first, len(self.starts) - 1)
 
-    def _encode(self, units: list[str]) -> range:
-        joined = APART.join(units)
-        if self.by_rank is None or joined.count(APART) >= len(units) or max(joined, default="") > LAST_LATIN or any(t in joined for t in self.special):
-            if len(units) > 1 and self.by_rank is not None:  # only the units that need it take the longer way
-                half = len(units) // 2
-                return range(self._encode(units[:half]).start, self._encode(units[half:]).stop)
-            each = [e.ids for e in self.own.encode_batch_fast(units, add_special_tokens=False)]
-            return self._keep(np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each]))
-        ids = np.array(self.by_rank.encode(joined, allowed_special={APART}), dtype=np.int64)
+    def _slow(self, units: list[str]) -> range:
+        each = [e.ids for e in self.own.encode_batch_fast(units, add_special_tokens=False)]
+        return self._keep(np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64))
+
+    def _fast(self, units: list[str]) -> range:
+        ids = np.array(self.by_rank.encode(APART.join(units), allowed_special={APART}), dtype=np.int64)
         ends = np.append(np.flatnonzero(ids == self.apart), len(ids))
         return self._keep(ids[ids != self.apart], np.diff(ends, prepend=-1) - 1)
 
     def _learn(self, new: list[str], known: dict[str, int], blank: str) -> None:
+        by_rank = (lambda t: max(t) <= LAST_LATIN and APART not in t and not any(x in t for x in self.special)) if self.by_rank else lambda t: False
         for i in range(0, len(new), CALL_UNITS):
             some = new[i: i + CALL_UNITS]
-            known.update(zip(some, self._encode([blank + u for u in some]), strict=True))
+            # Mostly all units may be merged by rank, which one look at all of them tells.
+            if self.by_rank and by_rank("".join(some)):
+                fast, slow = some, []
+            else:
+                fast = [u for u in some if by_rank(blank + u)]
+                kept = set(fast)
+                slow = [u for u in some if u not in kept]
+            if fast:
+                known.update(zip(fast, self._fast([blank + u for u in fast]), strict=True))
+            if slow:
+                known.update(zip(slow, self._slow([blank + u for u in slow]), strict=True))
 
     def _learn_behind(self, new: list[str]) -> None:
         """Words are learnt without the punctuation behind their last letter, which starts a token of its own."""
