@@ -226,3 +226,43 @@ def test_history_keeps_retention_window(spark):
     feed = spark.createDataFrame(rows, "k long, ts timestamp")
     kept = sorted(r["k"] for r in cdc.history(feed, "ts", retain_days=7).collect())
     assert kept == [0, 1, 2]
+
+
+def test_a_batch_is_parsed_once_and_a_refused_one_never(spark, tmp_path, monkeypatch):
+    base, schema, _ = _mirror(spark, tmp_path)
+    seen, parse = [], cdc.parse
+    monkeypatch.setattr(cdc, "parse", lambda *a: seen.append(1) or parse(*a))
+
+    def put(n, v):
+        rows = [(n, "f.txt", dt.datetime(2024, 1, 1), 0, f"table s.t: UPDATE: k[bigint]:1 v[text]:'{v}'")]
+        read = spark.createDataFrame(rows, "batch long, file string, landed_at timestamp, pos int, value string")
+        return stream.commit_lines(spark, base, n, read, schema, "k", "s", "t", 8)
+
+    assert put(0, "a") == "committed" and len(seen) == 1
+    assert put(0, "a") == "replayed"
+    for bad in ((2, "c"), (0, "other")):
+        with pytest.raises(mirror.LedgerError):
+            put(*bad)
+    assert len(seen) == 1 and put(1, "b") == "committed" and _rows(stream.current(spark, None, base, schema, "k"))[1] == "b"
+
+
+def test_the_feed_is_decoded_once(spark, cat, monkeypatch):
+    from vigil.plans import q_cdc
+    cat._t.pop("changes_typed", None)
+    seen, decode = [], cdc.decode
+    monkeypatch.setattr(cdc, "decode", lambda *a: seen.append(1) or decode(*a))
+    q_cdc.q_cdc_as_of(cat).count()
+    q_cdc.q_cdc_version_counts(cat).count()
+    assert len(seen) == 1
+
+
+def test_landing_files_are_rotated(spark, cat, monkeypatch):
+    """A file is one value for the reader: none may grow with the table."""
+    from vigil.plans import q_cdc
+    monkeypatch.setattr(q_cdc, "FILE_RECORDS", 100)
+    dirs, run = [], stream.run_stream
+    monkeypatch.setattr(stream, "run_stream", lambda spark, d, *a: dirs.append(d) or run(spark, d, *a))
+    rows = q_cdc.q_cdc_stream(cat).count()
+    lines = q_cdc._lines(cat).count()
+    per_file = spark.read.option("wholetext", True).text(dirs[0]).selectExpr("size(split(value, '\\n(?=table |BEGIN|COMMIT|garbage)')) AS n").collect()
+    assert rows == q_cdc.q_cdc_apply(cat).count() and lines > 300 and max(r.n for r in per_file) <= 101

@@ -23,15 +23,20 @@ def _target(c) -> T.StructType:
 
 
 def _lines(c):
-    """The table is one small file: its rows are dealt to all tasks before their lines are made."""
+    """The table is one file: its rows are dealt to all tasks before their lines are made. The lines are written once, as a
+    feed's are; all batches and queries read them."""
     n = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
-    return changefeed.change_lines(c.source("orders").repartition(n))
+    return c._get("change_lines", lambda: changefeed.change_lines(c.source("orders").repartition(n)))
 
 
 def _typed(c):
     """Typed changes; ``seq`` has the part of a change of key in its last digit, as the oracle writes it."""
-    d = cdc.decode(_lines(c)).withColumn("seq", F.col("seq") * 2 + F.col("part"))
-    return cdc.good_keys(_all(c, d), KEY)
+    return cdc.good_keys(_all_typed(c), KEY)
+
+
+def _all_typed(c):
+    """All changes, decoded once: readers of several moments or of sampled ranges do not decode again."""
+    return c._get("changes_typed", lambda: _all(c, cdc.decode(_lines(c)).withColumn("seq", F.col("seq") * 2 + F.col("part"))))
 
 
 def _all(c, decoded):
@@ -120,8 +125,7 @@ def q_cdc_bad_key(c):
 SELECT o_orderkey AS old_key, {_I} AS new_key, o_orderpriority || chr(10) || 'second line' AS o_orderpriority FROM orders WHERE o_orderkey % 10 = 8"""))
 def q_cdc_key_change(c):
     """Changes of key as the pair of their delete and their update."""
-    t = _all(c, cdc.decode(_lines(c)).withColumn("seq", F.col("seq") * 2 + F.col("part")))
-    pair = t.withColumn("at", F.floor(F.col("seq") / 2)).groupBy("at").agg(
+    pair = _all_typed(c).withColumn("at", F.floor(F.col("seq") / 2)).groupBy("at").agg(
         F.max(F.when(F.col("seq") % 2 == 0, F.col(KEY))).alias("old_key"), F.max(F.when(F.col("seq") % 2 == 1, F.col(KEY))).alias("new_key"),
         F.max("o_orderpriority").alias("o_orderpriority"))
     return pair.filter(F.col("old_key").isNotNull()).select("old_key", "new_key", "o_orderpriority")
@@ -160,15 +164,20 @@ def q_cdc_schema_check(c):
     return cdc.check_schema(_target(c), _typed(c).drop("seq", "op").schema, c.spark)
 
 
+FILE_RECORDS = 20_000
+
+
 @register("cdc_stream", O.sql(f"SELECT {o_cols(COLS)} FROM cdc_final", "cdc_final"))
 def q_cdc_stream(c):
-    """Land the change lines as three ordered text files, run the stream
+    """Land the change lines as ordered text files, run the stream
     once (availableNow), twice -- the second run must read nothing -- and
-    read the mirror through the merge-on-read view."""
+    read the mirror through the merge-on-read view. The writer rotates its
+    files: a file is one value for the reader."""
     spark = c.spark
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/vigil-cdc-{uuid.uuid4().hex[:12]}"
-    (_lines(c).repartitionByRange(3, "seq").sortWithinPartitions("seq").select("value")
-     .write.mode("overwrite").text(f"{base}/landing"))
+    n = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (_lines(c).repartitionByRange(n, "seq").sortWithinPartitions("seq").select("value")
+     .write.mode("overwrite").option("maxRecordsPerFile", FILE_RECORDS).text(f"{base}/landing"))
     target = _target(c)
     for _ in range(2):
         q = stream.run_stream(spark, f"{base}/landing", f"{base}/mirror", f"{base}/checkpoint", target, KEY,
@@ -208,7 +217,7 @@ def _batch_of(c, n, lines=None):
 
 def _commit(c, base, n, read=None):
     read = _batch_of(c, n) if read is None else read
-    return stream.commit_parsed(c.spark, base, n, cdc.parse(read), read.columns, _target(c), KEY, "public", "orders", BUCKETS)
+    return stream.commit_lines(c.spark, base, n, read, _target(c), KEY, "public", "orders", BUCKETS)
 
 
 def _seeded(c, name):

@@ -88,20 +88,34 @@ def ledger(spark: SparkSession, base: str) -> list[dict]:
     return _records(spark, base, "ledger")
 
 
-def commit(spark: SparkSession, base: str, batch: int, parts: dict[str, DataFrame], source: dict, **info) -> str:
-    """Write the ``parts`` of a batch and then its record, all or nothing. ``source`` tells what the batch was made from; with
-    ``first`` and ``last`` in it, these numbers follow those of the batch before. Returns "committed" or "replayed"."""
+def check_gap(spark: SparkSession, base: str, batch: int) -> None:
+    """An error if a batch leaves one out; what it is made of need not be known."""
+    known = ledger(spark, base)
+    last = known[-1] if known else None
+    if batch > (last["batch"] + 1 if last else 0) or batch < 0:
+        raise LedgerError(f"batch {batch} leaves a gap behind {last['batch'] if last else 'the start'}")
+
+
+def admit(spark: SparkSession, base: str, batch: int, source: dict) -> bool:
+    """Whether a batch is the next one: False if it is in the ledger with the same content, an error if it does not fit."""
     known = ledger(spark, base)
     last = known[-1] if known else None
     if last and batch <= last["batch"]:
         same = next((r for r in known if r["batch"] == batch), None)
         if same is None or same["source"] != source:
             raise LedgerError(f"batch {batch} is in the ledger with another content")
-        return "replayed"
-    if batch != (last["batch"] + 1 if last else 0):
-        raise LedgerError(f"batch {batch} leaves a gap behind {last['batch'] if last else 'the start'}")
+        return False
+    check_gap(spark, base, batch)
     if "first" in source and last and "last" in last["source"] and source["first"] != last["source"]["last"] + 1:
         raise LedgerError(f"batch {batch} starts at {source['first']}, the batch before ends at {last['source']['last']}")
+    return True
+
+
+def commit(spark: SparkSession, base: str, batch: int, parts: dict[str, DataFrame], source: dict, **info) -> str:
+    """Write the ``parts`` of a batch and then its record, all or nothing. ``source`` tells what the batch was made from; with
+    ``first`` and ``last`` in it, these numbers follow those of the batch before. Returns "committed" or "replayed"."""
+    if not admit(spark, base, batch, source):
+        return "replayed"
     folder = f"data/{batch:020d}-{uuid.uuid4().hex[:12]}"
     for name, df in parts.items():
         df.write.option("compression", "zstd").parquet(f"{base}/{folder}/{name}")

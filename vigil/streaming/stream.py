@@ -9,6 +9,7 @@ buckets and the batches behind it, or seed and feed where no version has been ma
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,11 +42,7 @@ def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         read = batch.withColumn("batch", F.lit(batch_id).cast("long"))
-        parsed = cdc.parse(read).persist()
-        try:
-            commit_parsed(spark, target_dir, batch_id, parsed, read.columns, target, key, schema_name, table_name, buckets, numbered)
-        finally:
-            parsed.unpersist()
+        commit_lines(spark, target_dir, batch_id, read, target, key, schema_name, table_name, buckets, numbered)
 
     w = lines.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     if trigger == "availableNow":
@@ -55,24 +52,56 @@ def run_stream(spark: SparkSession, source_dir: str, target_dir: str, checkpoint
     return w.start()
 
 
+def _source(read: DataFrame, numbered: bool) -> tuple[dict, int | None]:
+    """What a batch is made from, for the ledger, and when its last line landed. The lines need not be parsed for it."""
+    number = F.regexp_extract("file", r"([0-9]+)\.[^/]*$", 1).try_cast("long")
+    seen = read.agg(F.count(F.lit(1)).alias("records"), F.countDistinct("file").alias("files"), F.sum(F.xxhash64("file", "pos", "value").cast("decimal(38,0)")).alias("hash"),
+                    F.max(F.unix_millis("landed_at")).alias("landed"), F.min(number).alias("first"), F.max(number).alias("last")).first()
+    source = {"records": seen.records, "files": seen.files, "hash": str(seen["hash"])} | ({"first": seen["first"], "last": seen["last"]} if numbered else {})
+    return source, seen.landed
+
+
+def commit_lines(spark: SparkSession, target_dir: str, batch_id: int, read: DataFrame, target: T.StructType, key: str,
+                 schema_name: str | None, table_name: str | None, buckets: int, numbered: bool = False) -> str:
+    """Commit one batch of records of columns ``batch, file, landed_at, pos, value``. A batch that the ledger refuses or has
+    is not parsed; any other is parsed once, and its parts are made from that."""
+    mirror.check_gap(spark, target_dir, batch_id)
+    source, landed = _source(read, numbered)
+    if not mirror.admit(spark, target_dir, batch_id, source):
+        return "replayed"
+    parsed = cdc.parse(read).persist(StorageLevel.DISK_ONLY)
+    try:
+        return _commit(spark, target_dir, batch_id, parsed, read.columns, target, key, schema_name, table_name, buckets, source, landed)
+    finally:
+        parsed.unpersist()
+
+
 def commit_parsed(spark: SparkSession, target_dir: str, batch_id: int, parsed: DataFrame, columns: list[str], target: T.StructType, key: str,
                   schema_name: str | None, table_name: str | None, buckets: int, numbered: bool = False) -> str:
-    """Commit one batch of parsed records (``cdc.parse``) of columns ``batch, file, landed_at, pos, value``."""
+    """``commit_lines`` for records that ``cdc.parse`` has read."""
+    mirror.check_gap(spark, target_dir, batch_id)
+    source, landed = _source(parsed, numbered)
+    if not mirror.admit(spark, target_dir, batch_id, source):
+        return "replayed"
+    return _commit(spark, target_dir, batch_id, parsed, columns, target, key, schema_name, table_name, buckets, source, landed)
+
+
+def _commit(spark: SparkSession, target_dir: str, batch_id: int, parsed: DataFrame, columns: list[str], target: T.StructType, key: str,
+            schema_name: str | None, table_name: str | None, buckets: int, source: dict, landed: int | None) -> str:
     keep = [c for c in columns if c != "value"]
     seq = F.struct("batch", "file", "pos", "part").cast(ORDER).alias("seq")
     decoded = cdc.decode_parsed(parsed, keep).withColumn("seq", seq)
-    typed = cdc.coerce(decoded, target, schema_name, table_name, keep=("seq", "landed_at"), unchanged=True)
+    typed = cdc.coerce(decoded, target, schema_name, table_name, keep=("seq", "landed_at"), unchanged=True).persist(StorageLevel.DISK_ONLY)
     changes = cdc.compact(typed, key, "seq").select(*[f.name for f in mirror.feed_schema(target, ORDER).fields])
     named = cdc.bad_keys(typed, key).select("seq", F.to_json(F.struct(*target.names)).alias("value"), "reason")
     lost = cdc.quarantine_parsed(parsed.withColumn("part", F.lit(0)), [*keep, "part"]).select(seq, "value", "reason")
     stats = cdc.batch_stats(cdc.good_keys(typed, key)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    number = F.regexp_extract("file", r"([0-9]+)\.[^/]*$", 1).try_cast("long")
-    seen = parsed.agg(F.count(F.lit(1)).alias("records"), F.countDistinct("file").alias("files"), F.sum(F.xxhash64("file", "pos", "value").cast("decimal(38,0)")).alias("hash"),
-                      F.max(F.unix_millis("landed_at")).alias("landed"), F.min(number).alias("first"), F.max(number).alias("last")).first()
-    source = {"records": seen.records, "files": seen.files, "hash": str(seen["hash"])} | ({"first": seen["first"], "last": seen["last"]} if numbered else {})
-    touched = [r.b for r in changes.select(mirror.bucket_of(key, buckets).alias("b")).distinct().collect()]  # at most `buckets`
-    return mirror.commit(spark, target_dir, batch_id, {"changes": changes, "stats": stats, "quarantine": lost.unionByName(named)}, source,
-                         buckets=sorted(touched), n_buckets=buckets, landed=seen.landed)
+    try:
+        touched = [r.b for r in cdc.good_keys(typed, key).select(mirror.bucket_of(key, buckets).alias("b")).distinct().collect()]  # at most `buckets`
+        return mirror.commit(spark, target_dir, batch_id, {"changes": changes, "stats": stats, "quarantine": lost.unionByName(named)}, source,
+                             buckets=sorted(touched), n_buckets=buckets, landed=landed)
+    finally:
+        typed.unpersist()
 
 
 def changes(spark: SparkSession, target_dir: str, target: T.StructType) -> DataFrame:
