@@ -1,5 +1,6 @@
 """Streams with state of their own: late rows, closing windows, bounded state."""
 import datetime as dt
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -68,3 +69,43 @@ def test_the_rule_matches_the_batch_flag_on_ordered_input(spark, cat, tmp_path):
         if m is not None:
             first[c, m] = min(first.get((c, m), (t, i)), (t, i))
     assert sorted(r.row_id for r in got) == sorted(i for (c, _), (_, i) in first.items() if count[c] >= 20) and not any(r.late for r in got)
+
+
+class _Handle:
+    """State of one key, in memory; counts the timers."""
+
+    def __init__(self):
+        self.timers = []
+        self.registerTimer = self.timers.append
+
+    def getListState(self, *_):
+        s = SimpleNamespace(rows=[])
+        s.get, s.appendList, s.put, s.clear = lambda: list(s.rows), s.rows.extend, lambda x: s.rows.__setitem__(slice(None), x), s.rows.clear
+        return s
+
+    def getMapState(self, *_):
+        s = SimpleNamespace(rows={}, looks=[])
+        s.containsKey, s.updateValue = lambda k: s.looks.append(k) or k in s.rows, s.rows.__setitem__
+        return s
+
+    def getValueState(self, *_):
+        s = SimpleNamespace(row=None)
+        s.get, s.update = lambda: s.row, lambda v: setattr(s, "row", v)
+        return s
+
+
+def test_a_batch_costs_a_key_one_timer(spark):
+    """With a timer for each minute or hour, each read all waiting rows again: a key's cost grew with the square of its rows."""
+    at = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    visits, handle = stateful.FirstVisits(), _Handle()
+    visits.init(handle)
+    rows = [SimpleNamespace(at=i * 60_000, id=i, merchant=f"m{i % 3}") for i in range(100)]
+    assert not list(visits.handleInputRows(("c",), rows, at(0))) and len(handle.timers) == 1
+    out = list(visits.handleExpiredTimer(("c",), at(50 * 60_000), SimpleNamespace(getExpiryTimeInMs=lambda: handle.timers[0])))
+    assert [r.row_id for r in out] == [0, 1, 2] and len(visits.waiting.rows) == 50 and len(handle.timers) == 2 and len(visits.merchants.looks) == 3
+    counts, handle = stateful.ClosingCounts(), _Handle()
+    counts.init(handle)
+    rows = [SimpleNamespace(hour_ms=(i % 50) * 3_600_000, n=1) for i in range(100)]
+    assert not list(counts.handleInputRows(("a",), rows, at(0))) and handle.timers == [3_600_000]
+    out = list(counts.handleExpiredTimer(("a",), at(20 * 3_600_000), None))
+    assert len(out) == 20 and {r.n for r in out} == {2} and len(counts.hours.rows) == 30 and handle.timers[1:] == [21 * 3_600_000]

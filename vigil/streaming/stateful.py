@@ -5,13 +5,14 @@ late row leaves the stream as a row with ``late``, so what comes out, closed and
 
 State is bounded. A window's count is dropped when the window closes. A customer keeps the rows that the watermark has not
 passed, fewer than ``NEW_MERCHANT_MIN_HISTORY`` undecided first visits, one count, and one entry for each merchant visited.
-Keys are spread by Spark; an account's hours are separate keys, and each task counts the rows of an hour before they move, so
-an hour with very many rows costs one row a batch of rows. A customer's rows meet in order in one task, as a first visit
+Keys are spread by Spark; each task counts the rows of an account's hour before they move, so an hour with very many rows
+costs one row a batch of rows. A customer's rows meet in order in one task, as a first visit
 depends on all earlier ones; only ids, merchants and times are kept of them.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,26 +36,40 @@ def use_state(spark: SparkSession) -> None:
 # --- X2 ---
 
 class ClosingCounts(StatefulProcessor):
-    """Counts of (account, hour); the hour's end is a timer."""
+    """Counts of an account's open hours. A batch of rows costs an account one call for its hours and one timer, that of the
+    first hour to end; when a timer fires, all hours that the watermark has passed are closed."""
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getValueState("rows", "n long")
+        self.hours = handle.getListState("hours", "hour_ms long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, end = sum(r.n for r in rows), key[1] + HOUR_MS
-        if end <= timerValues.getCurrentWatermarkInMs():
-            yield Row(account_no=key[0], hour_ms=key[1], n=n, late=True)
-            return
-        before = self.rows.get()
-        if before is None:
-            self.handle.registerTimer(end)
-        self.rows.update(((before[0] if before else 0) + n,))
+        passed, counts = timerValues.getCurrentWatermarkInMs(), Counter()
+        for r in rows:
+            counts[r.hour_ms] += r.n
+        new = [(h, n) for h, n in counts.items() if h + HOUR_MS > passed]
+        if new:
+            self.hours.appendList(new)
+            self.handle.registerTimer(min(new)[0] + HOUR_MS)
+        for h, n in counts.items():
+            if h + HOUR_MS <= passed:
+                yield Row(account_no=key[0], hour_ms=h, n=n, late=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        n = self.rows.get()[0]
-        self.rows.clear()
-        yield Row(account_no=key[0], hour_ms=key[1], n=n, late=False)
+        passed, counts = timerValues.getCurrentWatermarkInMs(), Counter()
+        for h, n in self.hours.get():
+            counts[h] += n
+        rest = [(h, n) for h, n in counts.items() if h + HOUR_MS > passed]
+        if len(rest) == len(counts):
+            return
+        if rest:
+            self.hours.put(rest)
+            self.handle.registerTimer(min(rest)[0] + HOUR_MS)
+        else:
+            self.hours.clear()
+        for h, n in counts.items():
+            if h + HOUR_MS <= passed:
+                yield Row(account_no=key[0], hour_ms=h, n=n, late=False)
 
     def close(self) -> None:
         pass
@@ -72,7 +87,7 @@ def closing_velocity(silver_stream: DataFrame, watermark: str = "2 hours") -> Da
     use_state(silver_stream.sparkSession)
     at = F.unix_millis(F.date_trunc("hour", F.col("txn_ts").cast("timestamp")))
     hours = silver_stream.withWatermark("txn_ts", watermark).select("account_no", at.alias("hour_ms"))
-    counts = hours.mapInArrow(_counted, "account_no string, hour_ms long, n long").groupBy("account_no", "hour_ms")
+    counts = hours.mapInArrow(_counted, "account_no string, hour_ms long, n long").groupBy("account_no")
     out = counts.transformWithState(ClosingCounts(), "account_no string, hour_ms long, n long, late boolean", "append", "eventtime")
     return out.select("account_no", F.timestamp_millis("hour_ms").alias("window_start"), F.col("n").alias("acct_txns_same_hour"), (F.col("n") >= R.VELOCITY_MIN).alias("velocity"), "late")
 
@@ -90,20 +105,22 @@ class FirstVisits(StatefulProcessor):
         self.undecided = handle.getListState("undecided", "at long, id long, merchant string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        passed, ticks, new = timerValues.getCurrentWatermarkInMs(), set(), []
+        passed, new = timerValues.getCurrentWatermarkInMs(), []
         for r in rows:
             if r.at < passed:
                 yield Row(row_id=r.id, customer_id=key[0], merchant_id=r.merchant, at=r.at, late=True)
             else:
                 new.append((r.at, r.id, r.merchant))
-                ticks.add((r.at // TICK_MS + 1) * TICK_MS)
         if new:
             self.waiting.appendList(new)
-        for t in ticks:
-            self.handle.registerTimer(t)
+            self._wake(new)
+
+    def _wake(self, rows) -> None:
+        """One timer, for the first of the rows: when it fires, all rows that the watermark has passed are taken."""
+        self.handle.registerTimer((min(r[0] for r in rows) // TICK_MS + 1) * TICK_MS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        before = expiredTimerInfo.getExpiryTimeInMs()
+        before = timerValues.getCurrentWatermarkInMs()
         waiting = [tuple(x) for x in self.waiting.get()]
         ready = sorted(x for x in ((a, i, m or "", m is None) for a, i, m in waiting) if x[0] < before)
         if not ready:
@@ -111,15 +128,19 @@ class FirstVisits(StatefulProcessor):
         rest = [x for x in waiting if x[0] >= before]
         if rest:
             self.waiting.put(rest)
+            self._wake(rest)
         else:
             self.waiting.clear()
         count = (self.rows.get() or (0,))[0]
         undecided = [tuple(x) for x in self.undecided.get()] if count < R.NEW_MERCHANT_MIN_HISTORY else []
+        asked = set()  # merchants known to be in the state: one look a timer for each
         for at, row_id, merchant, nowhere in ready:
             count += 1
-            if not nowhere and not self.merchants.containsKey((merchant,)):
-                self.merchants.updateValue((merchant,), (True,))
-                undecided.append((at, row_id, merchant))
+            if not nowhere and merchant not in asked:
+                asked.add(merchant)
+                if not self.merchants.containsKey((merchant,)):
+                    self.merchants.updateValue((merchant,), (True,))
+                    undecided.append((at, row_id, merchant))
             if count >= R.NEW_MERCHANT_MIN_HISTORY:
                 for a, i, m in undecided:
                     yield Row(row_id=i, customer_id=key[0], merchant_id=m, at=a, late=False)
