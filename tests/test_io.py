@@ -55,3 +55,12 @@ def test_no_shared_folder_off_local_mode():
     sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None)))
+
+
+def test_ingest_lands_a_file_a_task(spark, cat, monkeypatch):
+    from vigil.plans import q_io
+    landed, write = [], q_io.sinks.write_raw_csv
+    monkeypatch.setattr(q_io.sinks, "write_raw_csv", lambda df, path: landed.append(df) or write(df, path))
+    row = q_io.q_ingest_once(cat).first()
+    assert row.ingested_rows == cat.raw().count() and row.second_run_rows == 0
+    assert "Exchange" not in landed[0]._jdf.queryExecution().executedPlan().toString()
