@@ -24,13 +24,12 @@ def _base(spark, name):
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/vigil-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _run(c, name, build, mode="append"):
-    """Stream the landing files through ``build`` once; return the result table."""
+def _run(c, name, build, mode="append", landing=None):
+    """Stream the landing files through ``build`` once; return the result table. ``landing``: where they have been written."""
     spark = c.spark
     base = _base(spark, name)
-    raw = c.raw()
-    raw.write.mode("overwrite").parquet(f"{base}/landing")
-    src = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/landing")
+    landing = landing or _land(c, name)
+    src = spark.readStream.schema(c.raw().schema).option("maxFilesPerTrigger", 4).parquet(landing)
 
     def sink(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id:020d}")
@@ -41,6 +40,12 @@ def _run(c, name, build, mode="append"):
     return spark.read.parquet(f"{base}/out")
 
 
+def _land(c, name):
+    path = f"{_base(c.spark, name)}/landing"
+    c.raw().write.mode("overwrite").parquet(path)
+    return path
+
+
 @register("stream_rules", O.sql(f"SELECT {ID}, " + ", ".join(STREAM_FLAGS) + " FROM flagged", "flagged"))
 def q_stream_rules(c):
     """Silver + the rules that need no history, computed on a stream."""
@@ -53,29 +58,29 @@ SELECT account_no, strftime(date_trunc('hour', txn_ts), '%Y-%m-%d %H:%M:%S') AS
        count(*) AS acct_txns_same_hour, count(*) >= 2 AS velocity
 FROM silver GROUP BY 1, 2""", "silver"))
 def q_stream_velocity(c):
-    """Per account and clock hour on a stream (watermarked state). The
-    complete output mode is used here so every window is final after one
+    """Per account and clock hour on a stream. A batch emits the hours that
+    it changes (update mode), so what is written grows with the rows, not with
+    batches times hours. Files arrive in no order of time, so no watermark:
+    every hour stays open and its last and greatest count is final after one
     availableNow run; production runs use append (emit on window close)."""
     def build(s):
         from ..operators import silver
-        sv = silver.build(s).filter(F.col("txn_ts").isNotNull())
-        return stream.stream_velocity(sv)
-    out = _run(c, "stream-velocity", build, mode="complete")
-    # complete mode rewrites all windows each batch: keep the last batch
-    last = out.agg(F.max("batch").alias("__b"))
-    timed = (out.join(F.broadcast(last), out["batch"] == last["__b"])  # one row
-             .select("account_no", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                     "acct_txns_same_hour", "velocity"))
+        sv = silver.build(s).select("account_no", "txn_ts").filter(F.col("txn_ts").isNotNull())
+        return stream.stream_velocity(sv, watermark=None)
+    landing = _land(c, "stream-velocity")
+    out = _run(c, "stream-velocity", build, mode="update", landing=landing)
+    final = out.groupBy("account_no", "window").agg(F.max("acct_txns_same_hour").alias("acct_txns_same_hour"), F.max_by("velocity", "acct_txns_same_hour").alias("velocity"))
+    timed = final.select("account_no", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "acct_txns_same_hour", "velocity")
     # Rows without an event time have no window: they go to a side output and form a group for each account.
-    side = _untimed(c, "velocity").groupBy("account_no").agg(F.count(F.lit(1)).alias("acct_txns_same_hour"))
+    side = _untimed(c, "velocity", ["account_no"], landing).groupBy("account_no").agg(F.count(F.lit(1)).alias("acct_txns_same_hour"))
     return timed.unionByName(side.select("account_no", F.lit(None).cast("string").alias("window_start"), "acct_txns_same_hour",
                                          (F.col("acct_txns_same_hour") >= 2).alias("velocity")))
 
 
-def _untimed(c, name):
-    """The side output of a stream: silver rows whose event time is NULL."""
+def _untimed(c, name, columns, landing):
+    """The side output of a stream: ``columns`` of the silver rows whose event time is NULL."""
     from ..operators import silver
-    return _run(c, f"untimed-{name}", lambda s: silver.build(s).filter(F.col("txn_ts").isNull()))
+    return _run(c, f"untimed-{name}", lambda s: silver.build(s).filter(F.col("txn_ts").isNull()).select(*columns), landing=landing).select(*columns)
 
 
 DEDUP_KEYS = ["txn_id", "txn_amount", "merchant_name", "txn_ts"]
@@ -93,7 +98,8 @@ def q_stream_dedup(c):
         from ..operators import silver
         sv = silver.build(s).filter(F.col("txn_ts").isNotNull())
         return stream.stream_dedup(sv, watermark="400 days", keys=DEDUP_KEYS).select(*DEDUP_KEYS)
-    return _run(c, "stream-dedup", build).select(*DEDUP_KEYS).unionByName(_untimed(c, "dedup").select(*DEDUP_KEYS).distinct())
+    landing = _land(c, "stream-dedup")
+    return _run(c, "stream-dedup", build, landing=landing).select(*DEDUP_KEYS).unionByName(_untimed(c, "dedup", DEDUP_KEYS, landing).distinct())
 
 
 # --- streams that end their state: slices of time, late rows and a closing row ---
