@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm import chat, decontaminate, exact, mixing, ngram_join, packing, quality, secrets, suffix, toxicity
 from vigil.llm.common import components, ship
+from vigil.llm.queries import QUERIES
 
 
 @pytest.fixture(autouse=True)
@@ -229,6 +230,27 @@ def test_repeated_with_rare_signs():
         assert [x.tolist() for x in suffix.repeated(texts, k)] == brute(texts, k)
 
 
+def test_planted_passages_are_told_by_bytes_removed(spark, tmp_path):
+    rng = random.Random(23)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(n))
+    text = lambda n, size: " ".join(word(size) for _ in range(n))
+    long, short = text(60, 8), text(60, 4)  # both of over 50 words; the second has fewer bytes than a string
+    assert len(short.encode()) < suffix.LENGTH < len(long.encode())
+    around = lambda x: f"{text(40, 6)} {x} {text(40, 6)}"
+    kinds = {"long": [around(long) for _ in range(5)], "short": [around(short) for _ in range(5)], "clean": [text(150, 6) for _ in range(5)] + [None, ""]}
+    rows = [(i, k, t) for i, (k, t) in enumerate((k, t) for k, ts in kinds.items() for t in ts)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op5_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == [i for i, _, _ in rows]
+    for i, kind, t in rows:
+        assert got[i].n_bytes == len((t or "").encode())  # of the input, planted or not
+        assert (got[i].n_removed > 0) == (kind == "long")
+        if kind == "long":
+            assert got[i].n_removed >= len(long.encode())
+    plain = sorted((n, gone, spans, hashlib.sha256(kept).hexdigest()) for n, gone, spans, kept in _removed([t for _, _, t in rows], suffix.LENGTH))
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.values()) == plain
+
+
 # --- secrets ---
 
 def test_secrets_finds_random_strings(spark, odd_docs, no_docs):
